@@ -31,12 +31,13 @@ def parse_messages(messages: DataFrame, names: Mapping[str, str] = MESSAGE_FIELD
     """Typed event columns from the JSON in `value`.
 
     Text that is not JSON gives a row of nulls, a mistyped field or an unreadable time gives a
-    null in that field, unknown fields are ignored: nothing here can fail a batch.
+    null in that field, unknown fields are ignored: nothing here can fail a batch. `inline`
+    keeps later filters from repeating the parse once per field.
     """
     schema = T.StructType([T.StructField(names[c], t) for c, t in EVENT_TYPES.items()])
     parsed = messages.select(
-        F.from_json(F.col("value").cast("string"), schema).alias("m")
-    ).select(*[F.col("m")[names[c]].alias(c) for c in EVENT_TYPES])
+        F.inline(F.array(F.from_json(F.col("value").cast("string"), schema)))
+    ).select(*[F.col(names[c]).alias(c) for c in EVENT_TYPES])
     return parsed.withColumn("epoch_s", epoch_seconds(message_timestamp(F.col("ts")))).select(
         *EVENT_COLUMNS
     )

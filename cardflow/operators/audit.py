@@ -34,7 +34,7 @@ def parity(
             for c in columns
         ],
         *[
-            (F.approx_count_distinct(F.xxhash64(f"a_{c}"), 0.01) > 2).alias(f"v_{c}")
+            (F.approx_count_distinct(F.when(F.col(f"a_{c}").isNotNull(), F.xxhash64(f"a_{c}"))) > 2).alias(f"v_{c}")
             for c in columns
         ],
     )

@@ -10,6 +10,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardflow.functions.literals import longs, numbered
 from cardflow.operators.ranks import quantiles, running_totals
 from cardflow.schema import REVIEW_COST
 
@@ -97,8 +98,8 @@ def threshold_costs(
         ).alias("_missed"),
     )
     position = {t: k for k, t in enumerate(levels, 1)}
-    asked = spark.createDataFrame(
-        [(i, t, position[t]) for i, t in enumerate(given, 1)], "i int, threshold double, _k int"
+    asked = numbered(spark, given, "threshold").withColumn(
+        "_k", F.element_at(longs([position[t] for t in given]), F.col("i")).cast("int")
     )
     return F.broadcast(asked).join(costs, "_k").select(
         "i", "threshold", (F.col("_flagged") * F.lit(float(review)) + F.col("_missed")).alias("cost")

@@ -11,6 +11,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardflow.functions.literals import doubles, longs, numbered
+
 MAX_RANGES = 4096
 ROWS_PER_RANGE = 100_000
 
@@ -23,7 +25,7 @@ def _ranges(values: DataFrame, value: str, rows_per_range: int) -> DataFrame:
     """
     levels = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
     rows, cuts = values.agg(
-        F.count("*"), F.percentile_approx(value, levels, 4 * MAX_RANGES)
+        F.count("*"), F.percentile_approx(value, doubles(levels), 4 * MAX_RANGES)
     ).first()
     n = min(MAX_RANGES, -(-rows // rows_per_range))
     if n <= 1:
@@ -91,12 +93,9 @@ def quantiles(
     total = counts.agg(F.sum("_n")).first()[0] or 0
     if total == 0:
         return df.sparkSession.createDataFrame([], "i int, level double, value double")
-    wanted = []
-    for i, level in enumerate(levels, 1):
-        position = level * (total - 1)
-        low = int(position)
-        wanted.append((i, float(level), low, min(low + 1, total - 1), position - low))
-    ranks = F.array(*[F.lit(r).cast("long") for r in sorted({r for w in wanted for r in w[2:4]})])
+    positions = [level * (total - 1) for level in levels]
+    lows = [int(p) for p in positions]
+    ranks = longs(sorted({r for low in lows for r in (low, min(low + 1, total - 1))}))
     held = running_totals(counts, "_v", ["_n"], rows_per_range=rows_per_range).select(
         "_v",
         F.explode(
@@ -105,16 +104,20 @@ def quantiles(
             )
         ).alias("_rank"),
     )
-    asked = df.sparkSession.createDataFrame(
-        wanted, "i int, level double, _low long, _high long, _part double"
+    asked = (
+        numbered(df.sparkSession, levels, "level")
+        .withColumn("_low", F.element_at(longs(lows), F.col("i")))
+        .withColumn("_part", F.element_at(doubles(positions), F.col("i")) - F.col("_low"))
+        .withColumn("_high", F.least(F.col("_low") + 1, F.lit(total - 1)))
     )
     low = held.select(F.col("_rank").alias("_low"), F.col("_v").alias("_a"))
     high = held.select(F.col("_rank").alias("_high"), F.col("_v").alias("_b"))
+    value = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")
     return (
         F.broadcast(asked)
         .join(low, "_low")
         .join(high, "_high")
-        .select("i", "level", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias("value"))
+        .select("i", "level", value.alias("value"))
     )
 
 

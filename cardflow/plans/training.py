@@ -114,14 +114,12 @@ def fit_linear(train: DataFrame, regularization: float = 0.0) -> PipelineModel:
 
 def with_probability(tx: DataFrame, model: PipelineModel) -> DataFrame:
     """`tx` plus `probability` of fraud, the same for every kind of model."""
-    inputs = {c: F.col(c).cast("double") for c in NUMERIC_FEATURES}
-    kept = [c for c in tx.columns if c not in inputs]
-    scored = model.transform(tx.withColumn("_row", F.struct(*tx.columns)).withColumns(inputs))
-    return scored.select(
-        *[F.col("_row")[c].alias(c) for c in tx.columns if c in inputs],
-        *kept,
-        vector_to_array("probability")[1].alias("_p"),
-    ).select(*tx.columns, F.col("_p").alias("probability"))
+    row = tx.withColumn("_row", F.struct(*tx.columns)).withColumns(
+        {c: F.col(c).cast("double") for c in NUMERIC_FEATURES}
+    )
+    return model.transform(row).select(
+        "_row.*", vector_to_array("probability")[1].alias("probability")
+    )
 
 
 class BusinessCostEvaluator(Evaluator):
