@@ -13,26 +13,34 @@ from pyspark.sql import functions as F
 
 from cardflow.functions.literals import doubles, longs, numbered
 
-MAX_RANGES = 4096
+MAX_RANGES = 2048
 ROWS_PER_RANGE = 100_000
 
 
-def _ranges(values: DataFrame, value: str, rows_per_range: int) -> DataFrame:
-    """`values` plus `_range`, an order-preserving range number.
+def _cut_points(
+    values: DataFrame, value: str, rows_per_range: int, *totals: str
+) -> tuple[list[float], list]:
+    """(cut points of about equal ranges, sums of `totals`), from one job that returns one row.
 
-    The cut points are approximate quantiles, read in one job that returns one row; their error
-    only makes ranges uneven. A small table is one range.
+    The cut points are approximate quantiles; their error only makes ranges uneven. A small
+    table is one range and has none.
     """
     levels = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    rows, cuts = values.agg(
-        F.count("*"), F.percentile_approx(value, doubles(levels), 4 * MAX_RANGES)
+    rows, cuts, *sums = values.agg(
+        F.count("*"),
+        F.percentile_approx(value, doubles(levels), 4 * MAX_RANGES),
+        *[F.sum(t) for t in totals],
     ).first()
     n = min(MAX_RANGES, -(-rows // rows_per_range))
-    if n <= 1:
+    return sorted({cuts[i * MAX_RANGES // n - 1] for i in range(1, n)}), sums
+
+
+def _ranges(values: DataFrame, value: str, cuts: list[float]) -> DataFrame:
+    """`values` plus `_range`, an order-preserving range number."""
+    if not cuts:
         return values.withColumn("_range", F.lit(0.0))
-    inner = sorted({cuts[i * MAX_RANGES // n - 1] for i in range(1, n)})
     return Bucketizer(
-        splits=[float("-inf"), *inner, float("inf")],
+        splits=[float("-inf"), *cuts, float("inf")],
         inputCol=value,
         outputCol="_range",
         handleInvalid="keep",
@@ -45,12 +53,16 @@ def running_totals(
     measures: list[str],
     descending: bool = False,
     rows_per_range: int = ROWS_PER_RANGE,
+    cuts: list[float] | None = None,
 ) -> DataFrame:
     """Adds `cum_<m>` for every measure: its total up to and including the row's value.
 
-    `values` holds one row per value (aggregate first) and `value` is a double.
+    `values` holds one row per value (aggregate first) and `value` is a double. `cuts` are the
+    limits of its ranges if already known.
     """
-    cut = _ranges(values, value, rows_per_range)
+    if cuts is None:
+        cuts, _ = _cut_points(values, value, rows_per_range)
+    cut = _ranges(values, value, cuts)
     sign = F.desc if descending else F.asc
     before = (
         Window.partitionBy(F.lit(0))
@@ -90,13 +102,13 @@ def quantiles(
         .groupBy(F.col(value).cast("double").alias("_v"))
         .agg(F.count("*").alias("_n"))
     )
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    if total == 0:
+    cuts, (total,) = _cut_points(counts, "_v", rows_per_range, "_n")
+    if not total:
         return df.sparkSession.createDataFrame([], "i int, level double, value double")
     positions = [level * (total - 1) for level in levels]
     lows = [int(p) for p in positions]
     ranks = longs(sorted({r for low in lows for r in (low, min(low + 1, total - 1))}))
-    held = running_totals(counts, "_v", ["_n"], rows_per_range=rows_per_range).select(
+    held = running_totals(counts, "_v", ["_n"], cuts=cuts).select(
         "_v",
         F.explode(
             F.filter(

@@ -92,15 +92,14 @@ class StateJob:
     def _audit(self, spark: SparkSession, seen, fresh: DataFrame, batch_id: int) -> None:
         """Messages, rejects, cards, rows that were late or repeated, and cards changed."""
         counts = fresh.agg(F.count("*"), F.countDistinct("card_id")).first()
-        row = (
-            seen["rows"],
-            seen["rejected"],
-            seen["cards"],
-            seen["rows"] - seen["rejected"] - counts[0],
-            counts[1],
-        )
-        schema = "rows long, rejected long, cards long, late_or_repeated long, cards_changed long"
-        out = spark.createDataFrame([row], schema)
+        row = {
+            "rows": seen["rows"],
+            "rejected": seen["rejected"],
+            "cards": seen["cards"],
+            "late_or_repeated": seen["rows"] - seen["rejected"] - counts[0],
+            "cards_changed": counts[1],
+        }
+        out = spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in row.items()])
         out.write.mode("overwrite").parquet(self._path(self.audit_path, batch_id))
 
     def _path(self, base: str, batch_id: int) -> str:
