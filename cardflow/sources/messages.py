@@ -14,7 +14,9 @@ from cardflow.schema import MESSAGE_FIELDS
 FILE_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]
 )
-MAX_PER_TRIGGER = 10_000
+# Batches never pass through the driver, so the default cap is far above one for small memory:
+# a batch costs about the same up to some hundred thousand messages.
+MAX_PER_TRIGGER = 1_000_000
 
 
 def message_fields(tx: DataFrame) -> DataFrame:

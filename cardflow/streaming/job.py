@@ -62,7 +62,6 @@ class StateJob:
         seen = events.agg(
             F.count("*").alias("rows"),
             F.count(F.when(~complete, 1)).alias("rejected"),
-            F.countDistinct(F.when(complete, F.col("card_id"))).alias("cards"),
             F.collect_set(F.when(complete, self.log.bucket())).alias("buckets"),
         ).first()
         if seen["rejected"] and self.rejects_path:
@@ -84,20 +83,27 @@ class StateJob:
             delta = card_state(fresh.drop("_seen"), self.retention, policy)
             self.log.write(merge_state(state, delta, self.retention), self.run, batch_id)
             if self.audit_path:
-                self._audit(spark, seen, fresh, batch_id)
+                self._audit(spark, seen, cards, fresh, batch_id)
         finally:
             fresh.unpersist()
             state.unpersist()
 
-    def _audit(self, spark: SparkSession, seen, fresh: DataFrame, batch_id: int) -> None:
+    def _audit(
+        self, spark: SparkSession, seen, cards: DataFrame, fresh: DataFrame, batch_id: int
+    ) -> None:
         """Messages, rejects, cards, rows that were late or repeated, and cards changed."""
-        counts = fresh.agg(F.count("*"), F.countDistinct("card_id")).first()
+        changed = fresh.groupBy("card_id").agg(F.count("*").alias("_n"))
+        counts = (
+            cards.join(changed, "card_id", "left")
+            .agg(F.count("*").alias("cards"), F.count("_n").alias("changed"), F.sum("_n").alias("n"))
+            .first()
+        )
         row = {
             "rows": seen["rows"],
             "rejected": seen["rejected"],
-            "cards": seen["cards"],
-            "late_or_repeated": seen["rows"] - seen["rejected"] - counts[0],
-            "cards_changed": counts[1],
+            "cards": counts["cards"],
+            "late_or_repeated": seen["rows"] - seen["rejected"] - (counts["n"] or 0),
+            "cards_changed": counts["changed"],
         }
         out = spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in row.items()])
         out.write.mode("overwrite").parquet(self._path(self.audit_path, batch_id))
