@@ -133,8 +133,12 @@ def _hot(tx: DataFrame, windows: Mapping[str, int]) -> DataFrame:
         .agg(
             F.sum("_w").alias("_w"),
             F.sum("amount").alias("amount"),
-            F.max("_here").alias("_here"),
+            # Numbers, unlike structs, keep this a hash aggregate.
+            F.max("_here.epoch_s").alias("epoch_s"),
+            F.max_by("_here.merch_lat", "_here.epoch_s").alias("merch_lat"),
+            F.max_by("_here.merch_lon", "_here.epoch_s").alias("merch_lon"),
         )
+        .withColumn("_here", F.when(F.col("epoch_s").isNotNull(), _place()))
         .select(
             "card_id",
             "_segment",
@@ -162,6 +166,7 @@ def _hot(tx: DataFrame, windows: Mapping[str, int]) -> DataFrame:
         .withColumn(
             "_sum", F.coalesce("_amount0", F.lit(0.0)) + F.coalesce("_amount1", F.lit(0.0))
         )
+        .withColumn("_here", F.coalesce("_here1", "_here0"))
     )
 
     def at(kind: int, column: Column) -> Column:
@@ -170,24 +175,33 @@ def _hot(tx: DataFrame, windows: Mapping[str, int]) -> DataFrame:
     per_second = totals.groupBy("card_id", F.col("_source").alias("epoch_s")).agg(
         at(0, F.col("_n")).alias("_n"),
         at(0, F.when(F.col("_n") > 0, F.col("_sum"))).alias("prior_amount"),
-        at(0, F.coalesce("_here1", "_here0")).alias("_before"),
+        *[at(0, F.col("_here")[c]).alias(f"_p_{c}") for c in ("epoch_s", "merch_lat", "merch_lon")],
         *[
             (at(0, F.col("_n")) - at(i, F.col("_n"))).alias(name)
             for i, name in enumerate(windows, 1)
         ],
     )
-    first_of_category = (
+    # A second holds at most one first transaction per category.
+    firsts = (
         tx.where(F.col("category").isNotNull())
         .groupBy("card_id", "category")
         .agg(F.min(F.struct("epoch_s", "tx_id")).alias("_f"))
-        .select("card_id", "category", "_f.epoch_s", "_f.tx_id", F.lit(True).alias("_first"))
+        .groupBy("card_id", F.col("_f.epoch_s").alias("epoch_s"))
+        .agg(F.collect_set("_f.tx_id").alias("_firsts"))
     )
     same_second = Window.partitionBy("card_id", "epoch_s").orderBy("tx_id")
+    before_second = F.when(
+        F.col("_p_epoch_s").isNotNull(),
+        F.struct(*[F.col(f"_p_{c}").alias(c) for c in ("epoch_s", "merch_lat", "merch_lon")]),
+    )
     return (
-        tx.join(per_second, ["card_id", "epoch_s"], "left")
-        .withColumn("_prev", F.coalesce(F.lag(_place()).over(same_second), "_before"))
-        .join(first_of_category, ["card_id", "epoch_s", "tx_id", "category"], "left")
-        .withColumn("is_new_category", F.coalesce("_first", F.lit(False)))
+        tx.join(per_second.join(firsts, ["card_id", "epoch_s"], "left"), ["card_id", "epoch_s"])
+        .withColumn("_prev", F.coalesce(F.lag(_place()).over(same_second), before_second))
+        .withColumn(
+            "is_new_category",
+            F.coalesce(F.array_contains("_firsts", F.col("tx_id")), F.lit(False))
+            & F.col("category").isNotNull(),
+        )
     )
 
 
