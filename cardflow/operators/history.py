@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardflow.functions.geo import haversine_km
+from cardflow.functions.literals import longs
 from cardflow.operators.skew import DEFAULT, SkewPolicy, by_skew
 from cardflow.schema import WINDOWS
 
@@ -91,38 +92,65 @@ def _ordinary(tx: DataFrame, windows: Mapping[str, int]) -> DataFrame:
 def _hot(tx: DataFrame, windows: Mapping[str, int]) -> DataFrame:
     """The same columns with no group larger than a card's second or a short time segment.
 
-    1. Sum each card's seconds (combined before the shuffle).
-    2. Every count and amount is a difference of running totals "before time x", read at the
-       second itself and at the lower edge of each window. Running totals are taken inside
-       (card, segment) and moved up by the totals of the card's earlier segments.
-    3. Rows join their second by (card, second).
+    A card's seconds are summed first (combined before the shuffle); `totals_before` gives each
+    second its counts and amounts, and the rows join their second by (card, second).
     """
     seconds = tx.groupBy("card_id", "epoch_s").agg(
         F.sum("_w").alias("_w"),
         F.sum("amount").alias("amount"),
         F.max(F.struct("tx_id", "merch_lat", "merch_lon")).alias("_end"),
     )
-    offsets = F.array(*[F.lit(s).cast("long") for s in [0, *windows.values()]])
-    points = seconds.select(
+    data = seconds.select(
         "card_id",
-        F.col("epoch_s").alias("_source"),
-        F.posexplode(offsets).alias("_kind", "_offset"),
+        "epoch_s",
         "_w",
         "amount",
-        F.struct(
-            "epoch_s",
-            F.col("_end.merch_lat").alias("merch_lat"),
-            F.col("_end.merch_lon").alias("merch_lon"),
-        ).alias("_here"),
-    ).select(
-        "card_id",
-        "_source",
-        "_kind",
-        (F.col("_source") - F.col("_offset")).alias("_at"),
-        *[F.when(F.col("_kind") == 0, F.col(c)).alias(c) for c in ("_w", "amount", "_here")],
+        F.struct("epoch_s", "_end.merch_lat", "_end.merch_lon").alias("_here"),
+    )
+    per_second = totals_before(data, seconds.select("card_id", "epoch_s"), windows)
+    # A second holds at most one first transaction per category.
+    firsts = (
+        tx.where(F.col("category").isNotNull())
+        .groupBy("card_id", "category")
+        .agg(F.min(F.struct("epoch_s", "tx_id")).alias("_f"))
+        .groupBy("card_id", F.col("_f.epoch_s").alias("epoch_s"))
+        .agg(F.collect_set("_f.tx_id").alias("_firsts"))
+    )
+    same_second = Window.partitionBy("card_id", "epoch_s").orderBy("tx_id")
+    return (
+        tx.join(per_second.join(firsts, ["card_id", "epoch_s"], "left"), ["card_id", "epoch_s"])
+        .withColumn("_prev", F.coalesce(F.lag(_place()).over(same_second), "_before"))
+        .withColumn(
+            "is_new_category",
+            F.coalesce(F.array_contains("_firsts", F.col("tx_id")), F.lit(False))
+            & F.col("category").isNotNull(),
+        )
     )
-    points = points.withColumn("_segment", F.floor(F.col("_at") / HOT_SEGMENT_S))
 
+
+def totals_before(
+    data: DataFrame, asked: DataFrame, windows: Mapping[str, int]
+) -> DataFrame:
+    """For every asked (card_id, epoch_s): the count in each window before it, `_n` and
+    `prior_amount` of everything before it, and `_before`, the place of the last second before.
+
+    `data` has one row per card and second: card_id, epoch_s, _w, amount, _here. `asked` is
+    distinct. A window's count is the difference of two running totals "before time x", at the
+    asked second and at the window's lower edge. Running totals are taken inside
+    (card, segment) and raised by the totals of the card's earlier segments, so no group grows
+    with the card's history beyond one row per segment.
+    """
+    offsets = longs([0, *windows.values()])
+    probes = asked.select(
+        "card_id",
+        F.col("epoch_s").alias("_source"),
+        F.posexplode(offsets).alias("_kind", "_offset"),
+    ).select("card_id", "_source", "_kind", (F.col("_source") - F.col("_offset")).alias("_at"))
+    points = (
+        data.select("card_id", F.col("epoch_s").alias("_at"), "_w", "amount", "_here")
+        .unionByName(probes, allowMissingColumns=True)
+        .withColumn("_segment", F.floor(F.col("_at") / HOT_SEGMENT_S))
+    )
     earlier = (
         Window.partitionBy("card_id")
         .orderBy("_segment")
@@ -161,46 +189,39 @@ def _hot(tx: DataFrame, windows: Mapping[str, int]) -> DataFrame:
                 "_here1": F.last("_here", ignorenulls=True).over(before),
             }
         )
+        .where(F.col("_kind").isNotNull())
         .join(carried, ["card_id", "_segment"])
-        .withColumn("_n", F.coalesce("_w0", zero) + F.coalesce("_w1", zero))
-        .withColumn(
-            "_sum", F.coalesce("_amount0", F.lit(0.0)) + F.coalesce("_amount1", F.lit(0.0))
+        .withColumns(
+            {
+                "_n": F.coalesce("_w0", zero) + F.coalesce("_w1", zero),
+                "_sum": F.coalesce("_amount0", F.lit(0.0)) + F.coalesce("_amount1", F.lit(0.0)),
+                "_here": F.coalesce("_here1", "_here0"),
+            }
         )
-        .withColumn("_here", F.coalesce("_here1", "_here0"))
     )
 
-    def at(kind: int, column: Column) -> Column:
-        return F.max(F.when(F.col("_kind") == kind, column))
-
-    per_second = totals.groupBy("card_id", F.col("_source").alias("epoch_s")).agg(
-        at(0, F.col("_n")).alias("_n"),
-        at(0, F.when(F.col("_n") > 0, F.col("_sum"))).alias("prior_amount"),
-        *[at(0, F.col("_here")[c]).alias(f"_p_{c}") for c in ("epoch_s", "merch_lat", "merch_lon")],
-        *[
-            (at(0, F.col("_n")) - at(i, F.col("_n"))).alias(name)
-            for i, name in enumerate(windows, 1)
-        ],
-    )
-    # A second holds at most one first transaction per category.
-    firsts = (
-        tx.where(F.col("category").isNotNull())
-        .groupBy("card_id", "category")
-        .agg(F.min(F.struct("epoch_s", "tx_id")).alias("_f"))
-        .groupBy("card_id", F.col("_f.epoch_s").alias("epoch_s"))
-        .agg(F.collect_set("_f.tx_id").alias("_firsts"))
-    )
-    same_second = Window.partitionBy("card_id", "epoch_s").orderBy("tx_id")
-    before_second = F.when(
-        F.col("_p_epoch_s").isNotNull(),
-        F.struct(*[F.col(f"_p_{c}").alias(c) for c in ("epoch_s", "merch_lat", "merch_lon")]),
-    )
+    def at(kind: int, column: str) -> Column:
+        return F.max(F.when(F.col("_kind") == kind, F.col(column)))
+
+    place = ["epoch_s", "merch_lat", "merch_lon"]
     return (
-        tx.join(per_second.join(firsts, ["card_id", "epoch_s"], "left"), ["card_id", "epoch_s"])
-        .withColumn("_prev", F.coalesce(F.lag(_place()).over(same_second), before_second))
-        .withColumn(
-            "is_new_category",
-            F.coalesce(F.array_contains("_firsts", F.col("tx_id")), F.lit(False))
-            & F.col("category").isNotNull(),
+        totals.groupBy("card_id", F.col("_source").alias("epoch_s"))
+        .agg(
+            at(0, "_n").alias("_n"),
+            at(0, "_sum").alias("_sum"),
+            *[at(0, f"_here.{c}").alias(f"_p_{c}") for c in place],
+            *[(at(0, "_n") - at(i, "_n")).alias(name) for i, name in enumerate(windows, 1)],
+        )
+        .select(
+            "card_id",
+            "epoch_s",
+            "_n",
+            F.when(F.col("_n") > 0, F.col("_sum")).alias("prior_amount"),
+            F.when(
+                F.col("_p_epoch_s").isNotNull(),
+                F.struct(*[F.col(f"_p_{c}").alias(c) for c in place]),
+            ).alias("_before"),
+            *windows,
         )
     )
 

@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 class SkewPolicy:
     """A key is hot above `hot_rows` rows. At most `max_hot_keys` keys are ever called hot: the
     row limit rises with the table so that the list of hot keys, which is broadcast, cannot
-    outgrow that number. `detect=False` says that the caller knows there are no hot keys."""
+    outgrow that number. `detect=False` says that the caller knows there are no hot keys.
 
-    hot_rows: int = 100_000
+    A range window costs up to rows times rows in the window, which is what keeps `hot_rows` low.
+    """
+
+    hot_rows: int = 20_000
     max_hot_keys: int = 2_000_000
     detect: bool = True
 

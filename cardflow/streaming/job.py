@@ -78,7 +78,10 @@ class StateJob:
         fresh = fresh_rows(tx, state, policy).persist()
         try:
             if self.features_path:
-                features = stream_features(fresh, state, self.windows, self.retention, policy)
+                # A small batch can still meet a card with a long day in its state.
+                features = stream_features(
+                    fresh, state, self.windows, self.retention, self.policy
+                )
                 features.write.mode("overwrite").parquet(self._path(self.features_path, batch_id))
             delta = card_state(fresh.drop("_seen"), self.retention, policy)
             self.log.write(merge_state(state, delta, self.retention), self.run, batch_id)

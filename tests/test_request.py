@@ -74,6 +74,22 @@ def test_first_request_of_each_card_equals_batch(tx, rows, policy):
     )
 
 
+def test_busy_cards_get_the_same_answers(spark, tx, rows):
+    """Every transaction as a request, so that old ones conflict, and some of an unknown card."""
+    cut = sorted(r[2] for r in rows)[130]
+    state = card_state(tx.where(F.col("epoch_s") < cut)).checkpoint()
+    asked = tx.unionByName(make(spark, ("new", 999, cut, "food", 1.0, 30.0, -90.0)))
+    answers = [
+        {r["tx_id"]: r for r in request_features(asked, state, policy=p).collect()}
+        for p in (SkewPolicy(), SkewPolicy(hot_rows=0))
+    ]
+    assert answers[0].keys() == answers[1].keys() and len(answers[0]) == len(rows) + 1
+    assert {r["status"] for r in answers[0].values()} == {"ok", "conflict", "new"}
+    for tx_id, row in answers[0].items():
+        for name, value in row.asDict().items():
+            assert close(value, answers[1][tx_id][name]), (tx_id, name)
+
+
 def test_request_checks(spark):
     good = spark.createDataFrame(
         [(1, 5.0, "x", "F", 1.0, 1.0, 1.0, 1.0, 10)],
