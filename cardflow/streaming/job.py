@@ -22,6 +22,8 @@ from cardflow.schema import MESSAGE_FIELDS, RETENTION, WINDOWS
 from cardflow.streaming.state_log import StateLog
 
 TRIGGER_SECONDS = 2
+# Lets adaptive execution merge the small partitions of what a batch keeps in memory.
+MERGE_CACHED = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 
 
 @dataclass(frozen=True)
@@ -51,11 +53,14 @@ class StateJob:
         """One micro-batch; the callback of the stream, and callable on a plain DataFrame."""
         spark = messages.sparkSession
         self.log.check_run(spark, self.run, batch_id)
+        before = spark.conf.get(MERGE_CACHED)
+        spark.conf.set(MERGE_CACHED, "true")
         events = parse_messages(messages, self.names).persist()
         try:
             self._process(spark, events, batch_id)
         finally:
             events.unpersist()
+            spark.conf.set(MERGE_CACHED, before)
 
     def _process(self, spark: SparkSession, events: DataFrame, batch_id: int) -> None:
         complete = is_complete()

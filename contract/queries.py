@@ -206,8 +206,16 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _features_with_status(out: DataFrame) -> DataFrame:
+    """Whole numbers and flags of a conflict, which are null, are shown as -1."""
+    shown = {
+        c: F.coalesce(F.col(c).cast("long"), F.lit(-1).cast("long"))
+        for c in ("cnt_10m", "cnt_1h", "cnt_24h", "is_new_category")
+    }
     return _rounded(
-        out.select("card_id", "tx_id", "status", "has_history", *HISTORY_FEATURES), FEATURE_PLACES
+        out.select("card_id", "tx_id", "status", "has_history", *HISTORY_FEATURES).withColumns(
+            shown
+        ),
+        FEATURE_PLACES,
     )
 
 

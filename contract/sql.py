@@ -97,7 +97,7 @@ def _requests() -> str:
     )
     km = _km("last_lat", "last_lon", "merch_lat", "merch_lon")
     shown = ", ".join(
-        f"CASE WHEN status <> 'conflict' THEN {n} END AS {n}" for n in EVENT_WINDOWS
+        f"CASE WHEN status <> 'conflict' THEN {n} ELSE -1 END AS {n}" for n in EVENT_WINDOWS
     )
     return f"""WITH {EVENTS},
 h AS (SELECT * FROM tx WHERE ts < TIMESTAMP '{EVENT_CUT}'),
@@ -117,7 +117,8 @@ SELECT card_id, tx_id, status, last_epoch IS NOT NULL AS has_history, {shown},
   round(CASE WHEN status = 'ok' AND n_before > 0 THEN before END, 3) AS prior_amount,
   round(CASE WHEN status = 'ok' AND n_before > 0 THEN amount / (before / n_before) END, 5)
     AS amount_ratio,
-  CASE WHEN status <> 'conflict' THEN NOT seen END AS is_new_category,
+  CASE WHEN status <> 'conflict' THEN CAST(NOT seen AS BIGINT) ELSE CAST(-1 AS BIGINT) END
+    AS is_new_category,
   round(CASE WHEN status = 'ok' THEN {km} END, 4) AS prev_distance_km,
   round(CASE WHEN status = 'ok' AND gap > 0 THEN {km} / (gap / 3600.0) END, 3)
     AS implied_speed_kmh
