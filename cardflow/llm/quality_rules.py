@@ -93,7 +93,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     numbered = F.zip_with(
         "_g", F.sequence(F.lit(1), F.size("_g")), lambda h, i: F.struct(h.alias("h"), i.alias("i"))
     )
-    df = df.withColumn("_s", F.when(repeats, F.array_sort(numbered)))
+    df = df.withColumn("_s", F.when(repeats, F.sort_array(numbered)))
     df = df.withColumn(
         "_same", F.zip_with("_s", _shifted("_s", 1), lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False)))
     )
@@ -106,7 +106,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
         lambda i: i.isNotNull(),
     )
-    df = df.withColumn("_at", F.when(F.col("_s").isNotNull(), F.array_sort(marked)))
+    df = df.withColumn("_at", F.when(F.col("_s").isNotNull(), F.sort_array(marked)))
     covered = F.aggregate(
         F.zip_with(
             "_at", _shifted("_at", 1), lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW)))
