@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardflow.llm import quality_rules
+from cardflow.llm import packing, pii, quality_rules
 from cardflow.llm.tables import read
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.col("spans")
+    return pii.find(docs).select(
+        "doc_id",
+        *[pii.count(spans, kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
+        F.sha2(pii.joined(F.filter(spans, lambda s: s["base"])), 256).alias("base_sha256"),
+        pii.joined(spans).alias("spans"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).select(
@@ -24,5 +42,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op7_pii": op7_pii,
     "op8_quality_rules": op8_quality_rules,
 }
