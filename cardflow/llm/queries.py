@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardflow.llm import packing, pii, quality_rules
+from cardflow.llm import bpe, packing, pii, quality_rules
 from cardflow.llm.tables import read
 
 
@@ -16,6 +16,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_decode(docs, real=False)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     spans = F.col("spans")
@@ -43,6 +48,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_bpe": op3_bpe,
     "op7_pii": op7_pii,
     "op8_quality_rules": op8_quality_rules,
 }

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable
 UNIT = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]")
 OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0  -     　]")
 SPECIAL = "<|endoftext|>"
-CACHE = 300_000
+CACHE = 400_000
 
 
 def split(text: str) -> list[str]:
