@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardflow.llm import bpe, packing, pii, quality_rules
+from cardflow.llm import bpe, html_text, packing, pii, quality_rules, warc
 from cardflow.llm.tables import read
 
 
@@ -21,6 +21,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, real=False)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     spans = F.col("spans")
@@ -46,9 +52,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_bpe": op3_bpe,
+    "op4_warc": op4_warc,
     "op7_pii": op7_pii,
     "op8_quality_rules": op8_quality_rules,
+    "op10_html_text": op10_html_text,
 }

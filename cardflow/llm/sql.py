@@ -2,4 +2,21 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html,
+                   octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(encode(coalesce(html, ''))) AS payload_digest
+            FROM pages
+        ), g AS (
+            SELECT *, CASE WHEN payload_bytes >= 100
+                THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM g
+    """,
+}
