@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardflow.llm import bpe, html_text, packing, pii, quality_rules, warc
+from cardflow.llm import bpe, html_text, packing, pii, quality_rules, substrings, warc
 from cardflow.llm.tables import read
 
 
@@ -16,6 +16,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs, layout=False).select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_decode(docs, real=False)
@@ -58,6 +68,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_substrings": op2_substrings,
     "op3_bpe": op3_bpe,
     "op4_warc": op4_warc,
     "op7_pii": op7_pii,
