@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardflow.llm import bpe, html_text, packing, pii, quality_rules, substrings, warc
+from cardflow.llm import bpe, html_text, jaccard, packing, pii, quality_rules, substrings, warc
 from cardflow.llm.tables import read
 
 
@@ -37,6 +37,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.component_ids(docs)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     spans = F.col("spans")
@@ -71,6 +76,7 @@ QUERIES = {
     "op2_substrings": op2_substrings,
     "op3_bpe": op3_bpe,
     "op4_warc": op4_warc,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_pii": op7_pii,
     "op8_quality_rules": op8_quality_rules,
     "op10_html_text": op10_html_text,

@@ -1,5 +1,5 @@
-"""The documents' way into training sequences: rules, near copies, repeated passages, personal
-data, packing. Each stage reads what the one before it wrote."""
+"""The documents' way into training sequences: quality rules, near copies, repeated passages,
+personal data, packing. Each stage reads what the one before it wrote."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardflow.llm import quality_rules
+from cardflow.llm import jaccard, packing, pii, quality_rules, substrings
 from cardflow.llm.tables import read, saved
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,8 +18,34 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at 0.8: that of the least id."""
+    return jaccard.one_per_class(docs, k=5, percent=80)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of repeated passages, with the rest of their layout."""
+    return substrings.remove_repeats(docs).select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents and their places in training sequences."""
+    return packing.pack_documents(docs).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", rules),
+    ("near copies", near_copies),
+    ("repeated passages", passages),
+    ("personal data", personal_data),
+    ("packing", sequences),
 ]
 
 #: Shingles, automata and tokenizers are beyond SQL; tests compare with a plain version.
@@ -27,9 +53,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequences of the table `documents`."""
     docs = read(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = saved(docs, name.replace(" ", "-"))
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
