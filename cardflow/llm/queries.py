@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardflow.llm import bpe, html_text, jaccard, packing, pii, quality_rules, substrings, warc
+from cardflow.llm import bpe, html_text, jaccard, packing, pii, pivots, quality_model, quality_rules, substrings, warc
 from cardflow.llm.tables import read
 
 
@@ -37,6 +37,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_model.classify(docs, read(spark, sf_dir, "labels"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.component_ids(docs)
@@ -67,6 +72,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return pivots.search(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
 
@@ -76,8 +86,10 @@ QUERIES = {
     "op2_substrings": op2_substrings,
     "op3_bpe": op3_bpe,
     "op4_warc": op4_warc,
+    "op5_quality_model": op5_quality_model,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_pii": op7_pii,
     "op8_quality_rules": op8_quality_rules,
+    "op9_pivots": op9_pivots,
     "op10_html_text": op10_html_text,
 }
