@@ -192,7 +192,7 @@ def _segments(docs: DataFrame, shared, frequent, window: int, gram: int) -> Data
                 keep = (key != lead) | bitmaps.contains(shared.value, key)
                 first = _runs(key, owner)
                 last = np.append(first[1:], len(at)) - 1
-                ok = keep[first]
+                ok = np.logical_or.reduceat(keep, first)
                 first, last = first[ok], last[ok]
                 digests: dict[int, bytes] = {}
                 rows: list[list] = [[], [], [], []]
