@@ -6,6 +6,10 @@ first-category flag and the distance to the previous transaction follow the orde
 
 Rows may carry a weight (how many transactions they stand for), which lets a card state be put
 in front of new transactions as a few rows.
+
+Rows without a card or a time have no place in a history: their counts are 0, nothing is new to them
+and their other features are null, and no other row sees them. A missing amount counts as a
+transaction, but neither in sums nor in the mean. A missing category is a category of its own.
 """
 
 from __future__ import annotations
@@ -36,15 +40,28 @@ def history_features(
     merch_lon. Ordinary cards take one shuffle by card; see `_hot` for cards too large for that.
     """
     rows = tx.withColumn("_w", F.col(weight) if weight else F.lit(1).cast("long"))
+    rows = rows.withColumn("_a", F.when(F.col("amount").isNotNull(), F.col("_w")))
+    placed, outside = _placed(rows)
+    counts = {name: F.lit(0).cast("long") for name in windows}
+    nothing = {
+        **{name: F.lit(None).cast("double") for name in _outputs({})},
+        "is_new_category": F.lit(False),
+    }
     return by_skew(
-        [rows],
+        [placed],
         "card_id",
         policy,
         lambda t: _finish(_ordinary(t, windows), windows).select(
             *tx.columns, *_outputs(windows)
         ),
         lambda t: _finish(_hot(t, windows), windows).select(*tx.columns, *_outputs(windows)),
-    )
+    ).unionByName(outside.withColumns({**counts, **nothing}).select(*tx.columns, *_outputs(windows)))
+
+
+def _placed(tx: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with a card and a time, the others)."""
+    known = F.col("card_id").isNotNull() & F.col("epoch_s").isNotNull()
+    return tx.where(known), tx.where(~known)
 
 
 def _outputs(windows: Mapping[str, int]) -> list[str]:
@@ -74,7 +91,7 @@ def _ordinary(tx: DataFrame, windows: Mapping[str, int]) -> DataFrame:
         tx.withColumn("_prev", F.lag(_place()).over(in_order))
         .withColumns(
             {
-                "_n": F.sum("_w").over(before),
+                "_n": F.sum("_a").over(before),
                 "prior_amount": F.sum("amount").over(before),
                 **{
                     name: F.coalesce(
@@ -97,6 +114,7 @@ def _hot(tx: DataFrame, windows: Mapping[str, int]) -> DataFrame:
     """
     seconds = tx.groupBy("card_id", "epoch_s").agg(
         F.sum("_w").alias("_w"),
+        F.sum("_a").alias("_a"),
         F.sum("amount").alias("amount"),
         F.max(F.struct("tx_id", "merch_lat", "merch_lon")).alias("_end"),
     )
@@ -104,14 +122,14 @@ def _hot(tx: DataFrame, windows: Mapping[str, int]) -> DataFrame:
         "card_id",
         "epoch_s",
         "_w",
+        "_a",
         "amount",
         F.struct("epoch_s", "_end.merch_lat", "_end.merch_lon").alias("_here"),
     )
     per_second = totals_before(data, seconds.select("card_id", "epoch_s"), windows)
     # A second holds at most one first transaction per category.
     firsts = (
-        tx.where(F.col("category").isNotNull())
-        .groupBy("card_id", "category")
+        tx.groupBy("card_id", "category")
         .agg(F.min(F.struct("epoch_s", "tx_id")).alias("_f"))
         .groupBy("card_id", F.col("_f.epoch_s").alias("epoch_s"))
         .agg(F.collect_set("_f.tx_id").alias("_firsts"))
@@ -122,8 +140,7 @@ def _hot(tx: DataFrame, windows: Mapping[str, int]) -> DataFrame:
         .withColumn("_prev", F.coalesce(F.lag(_place()).over(same_second), "_before"))
         .withColumn(
             "is_new_category",
-            F.coalesce(F.array_contains("_firsts", F.col("tx_id")), F.lit(False))
-            & F.col("category").isNotNull(),
+            F.coalesce(F.array_contains("_firsts", F.col("tx_id")), F.lit(False)),
         )
     )
 
@@ -131,15 +148,18 @@ def _hot(tx: DataFrame, windows: Mapping[str, int]) -> DataFrame:
 def totals_before(
     data: DataFrame, asked: DataFrame, windows: Mapping[str, int]
 ) -> DataFrame:
-    """For every asked (card_id, epoch_s): the count in each window before it, `_n` and
-    `prior_amount` of everything before it, and `_before`, the place of the last second before.
+    """For every asked (card_id, epoch_s): the count in each window before it, `prior_amount` of
+    everything before it and the count `_n` of amounts in it, and `_before`, the place of the last
+    second before.
 
-    `data` has one row per card and second: card_id, epoch_s, _w, amount, _here. `asked` is
-    distinct. A window's count is the difference of two running totals "before time x", at the
+    `data` has one row per card and second: card_id, epoch_s, _w, amount, _here, and `_a`, the
+    count of amounts, where some may be missing. `asked` is distinct. A window's count is the difference of two running totals "before time x", at the
     asked second and at the window's lower edge. Running totals are taken inside
     (card, segment) and raised by the totals of the card's earlier segments, so no group grows
     with the card's history beyond one row per segment.
     """
+    if "_a" not in data.columns:
+        data = data.withColumn("_a", F.col("_w"))
     offsets = longs([0, *windows.values()])
     probes = asked.select(
         "card_id",
@@ -147,7 +167,7 @@ def totals_before(
         F.posexplode(offsets).alias("_kind", "_offset"),
     ).select("card_id", "_source", "_kind", (F.col("_source") - F.col("_offset")).alias("_at"))
     points = (
-        data.select("card_id", F.col("epoch_s").alias("_at"), "_w", "amount", "_here")
+        data.select("card_id", F.col("epoch_s").alias("_at"), "_w", "_a", "amount", "_here")
         .unionByName(probes, allowMissingColumns=True)
         .withColumn("_segment", F.floor(F.col("_at") / HOT_SEGMENT_S))
     )
@@ -160,6 +180,7 @@ def totals_before(
         points.groupBy("card_id", "_segment")
         .agg(
             F.sum("_w").alias("_w"),
+            F.sum("_a").alias("_a"),
             F.sum("amount").alias("amount"),
             # Numbers, unlike structs, keep this a hash aggregate.
             F.max("_here.epoch_s").alias("epoch_s"),
@@ -171,6 +192,7 @@ def totals_before(
             "card_id",
             "_segment",
             F.sum("_w").over(earlier).alias("_w0"),
+            F.sum("_a").over(earlier).alias("_a0"),
             F.sum("amount").over(earlier).alias("_amount0"),
             F.last("_here", ignorenulls=True).over(earlier).alias("_here0"),
         )
@@ -185,6 +207,7 @@ def totals_before(
         points.withColumns(
             {
                 "_w1": F.sum("_w").over(before),
+                "_a1": F.sum("_a").over(before),
                 "_amount1": F.sum("amount").over(before),
                 "_here1": F.last("_here", ignorenulls=True).over(before),
             }
@@ -194,6 +217,7 @@ def totals_before(
         .withColumns(
             {
                 "_n": F.coalesce("_w0", zero) + F.coalesce("_w1", zero),
+                "_with": F.coalesce("_a0", zero) + F.coalesce("_a1", zero),
                 "_sum": F.coalesce("_amount0", F.lit(0.0)) + F.coalesce("_amount1", F.lit(0.0)),
                 "_here": F.coalesce("_here1", "_here0"),
             }
@@ -207,7 +231,7 @@ def totals_before(
     return (
         totals.groupBy("card_id", F.col("_source").alias("epoch_s"))
         .agg(
-            at(0, "_n").alias("_n"),
+            at(0, "_with").alias("_n"),
             at(0, "_sum").alias("_sum"),
             *[at(0, f"_here.{c}").alias(f"_p_{c}") for c in place],
             *[(at(0, "_n") - at(i, "_n")).alias(name) for i, name in enumerate(windows, 1)],
@@ -254,7 +278,9 @@ def first_per_card(tx: DataFrame, k: int = 1) -> DataFrame:
 
 
 def position_in_card(tx: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
-    """`tx` plus `position`: how many transactions of the card come before it, from 0."""
+    """`tx` plus `position`: how many transactions of the card come before it, from 0. Null for a
+    row without a card or a time."""
+    tx, outside = _placed(tx)
 
     def ordinary(rows: DataFrame) -> DataFrame:
         order = Window.partitionBy("card_id").orderBy("epoch_s", "tx_id")
@@ -292,4 +318,6 @@ def position_in_card(tx: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
             .select(*rows.columns, "position")
         )
 
-    return by_skew([tx], "card_id", policy, ordinary, hot)
+    done = by_skew([tx], "card_id", policy, ordinary, hot)
+    missing = outside.withColumn("position", F.lit(None).cast("long"))
+    return done.unionByName(missing).select(*tx.columns, "position")

@@ -90,4 +90,6 @@ def lookup(
         return left.join(right, key, "left")
     cold, hot = split(left, keys, key)
     few = right.join(F.broadcast(keys), key, "left_semi")
-    return cold.join(right, key, "left").unionByName(hot.join(F.broadcast(few), key, "left"))
+    columns = left.join(right, key, "left").columns
+    both = cold.join(right, key, "left").unionByName(hot.join(F.broadcast(few), key, "left"))
+    return both.select(*columns)

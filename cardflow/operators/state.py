@@ -19,7 +19,7 @@ from cardflow.functions.arrays import (
 )
 from cardflow.functions.compare import is_later
 from cardflow.operators.skew import DEFAULT, SkewPolicy, by_skew, lookup
-from cardflow.schema import RETENTION, STATE_COLUMNS
+from cardflow.schema import RECENT_TYPE, RETENTION, STATE_COLUMNS
 
 
 def _end():
@@ -29,9 +29,10 @@ def _end():
 def card_state(
     tx: DataFrame, retention: int = RETENTION, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
-    """State of every card after all of `tx`."""
+    """State of every card after all of `tx`. Rows without a card belong to no state; one without
+    a time counts in the totals and is never recent."""
     return by_skew(
-        [tx],
+        [tx.where(F.col("card_id").isNotNull())],
         "card_id",
         policy,
         lambda t: _ordinary_state(t, retention),
@@ -87,7 +88,10 @@ def _hot_state(tx: DataFrame, retention: int) -> DataFrame:
         .groupBy("card_id")
         .agg(F.array_sort(F.collect_list(F.struct("epoch_s", "n", "amount"))).alias("recent"))
     )
-    return _shape(totals.join(recent, "card_id"))
+    none = F.array().cast(RECENT_TYPE)
+    return _shape(
+        totals.join(recent, "card_id", "left").withColumn("recent", F.coalesce("recent", none))
+    )
 
 
 def _shape(df: DataFrame) -> DataFrame:
@@ -107,7 +111,9 @@ def _shape(df: DataFrame) -> DataFrame:
 def recent_transactions(
     tx: DataFrame, retention: int = RETENTION, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
-    """Transactions within `retention` seconds of their card's last one, as rows."""
+    """Transactions within `retention` seconds of their card's last one, as rows. Rows without a
+    card or a time are never recent."""
+    tx = tx.where(F.col("card_id").isNotNull() & F.col("epoch_s").isNotNull())
 
     def ordinary(rows: DataFrame) -> DataFrame:
         newest = F.max("epoch_s").over(Window.partitionBy("card_id"))
@@ -125,7 +131,7 @@ def recent_transactions(
             .drop("_newest")
         )
 
-    return by_skew([tx], "card_id", policy, ordinary, hot)
+    return by_skew([tx], "card_id", policy, ordinary, hot).select(*tx.columns)
 
 
 def recent_arrays(state: DataFrame) -> DataFrame:

@@ -41,9 +41,6 @@ RAW_COLUMNS = {
     "is_fraud": "is_fraud",
 }
 RAW_INDEX = "_index"
-RAW_CSV_SCHEMA = T.StructType(
-    [T.StructField(name, T.StringType()) for name in [RAW_INDEX, *RAW_COLUMNS]]
-)
 RAW_TYPES = {
     "card_id": "long",
     "amount": "double",

@@ -10,21 +10,30 @@ from cardflow.schema import (
     DATE_FORMAT,
     EVENT_COLUMNS,
     RAW_COLUMNS,
-    RAW_CSV_SCHEMA,
     RAW_TYPES,
     TIMESTAMP_FORMAT,
 )
 
 
+def _by_name(spark: SparkSession, path: str) -> DataFrame:
+    """The file's columns as text, found by the names in its header."""
+    rows = spark.read.csv(path, header=True, inferSchema=False, enforceSchema=False)
+    missing = [name for name in RAW_COLUMNS if name not in rows.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return rows.select(*RAW_COLUMNS).withColumnsRenamed(RAW_COLUMNS)
+
+
 def read_raw(spark: SparkSession, paths: list[str]) -> DataFrame:
     """All files as one table of 22 typed columns under their names here.
 
-    Everything is read as text against a fixed schema, so no file is scanned to guess types;
-    the leading index column is never parsed further. Times are UTC in any session zone.
+    Columns are found by the header of each path, in any order; a missing one is an error, and so
+    are files under one path whose headers differ. Everything is read as text, so no file is
+    scanned to guess types, and other columns are never parsed. Times are UTC in any session zone.
     """
-    text = spark.read.csv(paths, header=True, schema=RAW_CSV_SCHEMA).withColumnsRenamed(
-        RAW_COLUMNS
-    )
+    if not paths:
+        raise ValueError("no files")
+    text = concat_histories([_by_name(spark, path) for path in paths])
 
     def typed(name: str):
         if name == "ts":

@@ -14,9 +14,12 @@ from cardflow.schema import MESSAGE_FIELDS
 FILE_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]
 )
-# Batches never pass through the driver, so the default cap is far above one for small memory:
+# Batches never pass through the driver, so the default caps are far above ones for small memory:
 # a batch costs about the same up to some hundred thousand messages.
 MAX_PER_TRIGGER = 1_000_000
+MAX_BYTES = 256 << 20
+# Rows of one card that one task may write; a busier card is written in several jobs.
+CARD_ROWS = 1_000_000
 
 
 def message_fields(tx: DataFrame) -> DataFrame:
@@ -28,8 +31,8 @@ def message_fields(tx: DataFrame) -> DataFrame:
 def messages(tx: DataFrame, names: Mapping[str, str] = MESSAGE_FIELDS) -> DataFrame:
     """(key, value) of every transaction in the order (ts, tx_id).
 
-    The sort is by ranges of time, so no card has to fit in one task and the files, read in
-    name order, keep the total order.
+    The sort is by ranges of time, so no card has to fit in one task. Files do not keep this
+    order; `export_messages` keeps that of each card.
     """
     return message_fields(tx).select(
         message_key().alias("key"), message_value(names).alias("value")
@@ -42,18 +45,51 @@ def export_messages(
     fmt: str = "json",
     limit: int | None = None,
     options: Mapping[str, str] | None = None,
+    card_rows: int = CARD_ROWS,
 ) -> None:
     """Writes the messages, the first `limit` if given: to files, or with fmt="kafka" and its
-    options to a topic. A topic keeps the order of a card only within one task, so publish a
-    busy card's history there in consecutive time ranges."""
-    out = messages(tx)
+    options to a topic.
+
+    A card's messages are in order wherever the reader cuts: one task writes all of a card, in
+    order of (ts, tx_id), so all of it is in one file or goes to the topic in that order. Cards
+    of more than `card_rows` messages are written by consecutive jobs over ranges of time, each
+    of which ends before the next begins; no order between tasks or files of a job matters.
+    """
+    rows = tx.select(*MESSAGE_FIELDS)
     if limit is not None:
-        out = messages(tx.orderBy("ts", "tx_id").limit(limit))
-    writer = out.write.format(fmt).options(**(options or {}))
-    if path is None:
-        writer.save()
-    else:
-        writer.mode("append").save(path)
+        rows = rows.orderBy("ts", "tx_id").limit(limit)
+    edges = _time_edges(rows, card_rows)
+    for low, high in zip([None, *edges], [*edges, None]):
+        part = rows
+        if low is not None:
+            part = part.where(F.col("ts") >= low)
+        if high is not None:
+            before = F.col("ts") < high
+            part = part.where(before if low is not None else before | F.col("ts").isNull())
+        out = (
+            part.repartition("card_id")
+            .sortWithinPartitions("card_id", "ts", "tx_id")
+            .select(message_key().alias("key"), message_value(names=MESSAGE_FIELDS).alias("value"))
+        )
+        writer = out.write.format(fmt).options(**(options or {}))
+        if path is None:
+            writer.save()
+        else:
+            writer.mode("append").save(path)
+
+
+def _time_edges(rows: DataFrame, card_rows: int) -> list:
+    """Times that cut the busiest cards' messages into parts of about `card_rows`."""
+    counts = rows.groupBy("card_id").agg(F.count("*").alias("_rows"))
+    most = counts.agg(F.max("_rows")).first()[0] or 0
+    parts = -(-most // card_rows)
+    if parts <= 1:
+        return []
+    busy = counts.where(F.col("_rows") > card_rows).select("card_id")
+    times = rows.join(busy, "card_id", "left_semi").select(F.col("ts").cast("timestamp").alias("ts"))
+    shares = [i / parts for i in range(1, parts)]
+    found = times.agg(F.percentile_approx(F.unix_micros("ts"), shares, 10_000).alias("t")).first()["t"]
+    return [F.timestamp_micros(F.lit(t)) for t in sorted(set(found or []))]
 
 
 def read_message_stream(
@@ -62,10 +98,13 @@ def read_message_stream(
     path: str | None = None,
     max_per_trigger: int = MAX_PER_TRIGGER,
     options: Mapping[str, str] | None = None,
+    max_bytes: int | None = MAX_BYTES,
+    max_files: int | None = None,
 ) -> DataFrame:
     """Streaming (key, value) from the earliest message on.
 
-    For Kafka `max_per_trigger` caps the messages of a batch, for files the files of a batch.
+    For Kafka `max_per_trigger` caps the messages of a batch. Files are capped by their bytes, or
+    by `max_files` if that is given. No cap changes the states: see `export_messages`.
     """
     reader = spark.readStream.format(fmt).options(**(options or {}))
     if fmt == "kafka":
@@ -75,9 +114,12 @@ def read_message_stream(
             .load()
             .select("key", "value")
         )
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    elif max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return (
         reader.schema(FILE_SCHEMA)
-        .option("maxFilesPerTrigger", max_per_trigger)
         .load(path)
         .select(F.col("key").cast("binary"), F.col("value").cast("binary"))
     )

@@ -48,7 +48,6 @@ from contract.tables import ORDER_RETENTION, ORDER_WINDOWS, table, tx_events, tx
 EVENT_CUT = "2024-01-16"
 EVENT_TEST = "2024-01-25"
 ORDER_CUTS = ("1997-03-01", "1999-06-01")
-TREES = 20
 
 
 def _rounded(df: DataFrame, places: dict[str, int]) -> DataFrame:
@@ -423,7 +422,8 @@ def csv_load(spark: SparkSession, sf: str) -> DataFrame:
     )
     early = F.col("trans_date_trans_time") < EVENT_CUT
     paths = [new_dir(spark, "raw"), new_dir(spark, "raw")]
-    for rows, path in zip((raw.where(early), raw.where(~early)), paths):
+    late = raw.where(~early).select(*sorted(raw.columns))
+    for rows, path in zip((raw.where(early), late), paths):
         rows.write.csv(path, header=True)
     return read_raw(spark, paths).select(
         "tx_id",
@@ -488,6 +488,30 @@ def stream_state(spark: SparkSession, sf: str) -> DataFrame:
     return _states(_stream(spark, sf).log.current(spark))
 
 
+def stream_small_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The same waves as 20 files, one file a batch."""
+    base = new_dir(spark, "small")
+    log = StateLog(f"{base}/states", buckets=1)
+    first, *rest = _event_waves(spark, sf)
+    log.seed(spark, card_state(first))
+    tx = rest[0].unionByName(rest[1])
+    part = F.pmod(F.xxhash64("card_id"), F.lit(4))
+    edges = tx.agg(F.percentile_approx(F.unix_timestamp("ts"), [0.2, 0.4, 0.6, 0.8]).alias("t"))
+    cuts = [-(1 << 62), *edges.first()["t"], 1 << 62]
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        now = F.unix_timestamp("ts")
+        wave = tx.where((now > low) & (now <= high))
+        for i in range(4):
+            export_messages(wave.where(part == i), f"{base}/inbox")
+    job = StateJob(log, audit_path=f"{base}/audit")
+    source = read_message_stream(spark, path=f"{base}/inbox", max_files=1)
+    start(source, job, f"{base}/offsets", drain=True).awaitTermination()
+    late = read_batches(spark, f"{base}/audit").agg(F.sum("late_or_repeated")).first()[0]
+    if late:
+        raise ValueError(f"{late} messages came late")
+    return _states(log.current(spark))
+
+
 def stream_feature_rows(spark: SparkSession, sf: str) -> DataFrame:
     job = _stream(spark, sf)
     return _features(read_batches(spark, job.features_path), ["cnt_10m", "cnt_1h", "cnt_24h"])
@@ -528,7 +552,7 @@ def stateful_states(spark: SparkSession, sf: str) -> DataFrame:
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
     splits = Splits(*[s.persist() for s in _splits(spark, sf)])
     try:
-        return training.metrics_table(training.train_candidates(splits, trees=TREES))
+        return training.metrics_table(training.train_candidates(splits))
     finally:
         for s in splits:
             s.unpersist()
@@ -537,9 +561,10 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     splits = _splits(spark, sf)
     model = training.fit_linear(splits.train)
+    chosen = training.run_candidate("linear", model, splits).threshold
     known = card_state(splits.train.unionByName(splits.validation))
     asked = check_requests(splits.test).where(F.col("reject_reason").isNull())
-    out = training.score_requests(request_features(asked, known), model, 0.5, "linear-1")
+    out = training.score_requests(request_features(asked, known), model, chosen, "linear-1")
     return out.select(
         "card_id",
         "tx_id",
@@ -596,6 +621,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_table": feature_table,
     "state_snapshot": state_snapshot,
     "stream_state": stream_state,
+    "stream_small_batches": stream_small_batches,
     "stream_features": stream_feature_rows,
     "stream_audit": stream_audit,
     "stateful_states": stateful_states,

@@ -328,6 +328,7 @@ SELECT tx_id, card_id, epoch_s, strftime(birth_date, '%Y-%m-%d') AS birth_date,
     "feature_table": _history_events,
     "state_snapshot": _state(ORDERS, 90 * 86400),
     "stream_state": _state(EVENTS, 86400),
+    "stream_small_batches": _state(EVENTS, 86400),
     "stream_features": _history(EVENTS, EVENT_WINDOWS, f"ts >= TIMESTAMP '{EVENT_CUT}'"),
     "stream_audit": f"""SELECT CAST(run AS BIGINT) AS run, count(*) AS rows,
   CAST(0 AS BIGINT) AS rejected,

@@ -28,8 +28,8 @@ def write_csv(path, start, n, seed):
         amount = rng.uniform(600, 1500) if fraud else rng.uniform(1, 150)
         lines.append(
             f'{i},{now},{rng.randrange(5)},"shop, {i % 3}",{rng.choice(["food", "fuel"])},'
-            f'{amount:.2f},Ann,Lee,{rng.choice("FM")},"1 St, B",Town,NC,28654,36.07,-81.17,3495,'
-            f'"Job",1988-03-09,{seed}-{i:04d},0,{rng.uniform(30, 40):.4f},-82.04,{fraud}'
+            f'{amount:.2f},Noor,Silva,{rng.choice("FM")},"9 Elm, C",Lakeside,OR,97301,44.95,-123.03,81200,'
+            f'"Baker",1975-11-30,{seed}-{i:04d},0,{rng.uniform(40, 50):.4f},-122.96,{fraud}'
         )
     path.write_text("\n".join(lines))
     return str(path)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,7 +60,7 @@ def test_cold_start_resume_rejects_and_replay(spark, tx, rows, waves, tmp_path):
     )
     export_messages(waves[1], inbox)
     drain(spark, inbox, job, f"{base}/offsets")
-    broken = spark.createDataFrame([("1", "esto no es json")], "key string, value string")
+    broken = spark.createDataFrame([("1", "<broken>")], "key string, value string")
     broken.write.mode("append").json(inbox)
     export_messages(waves[2], inbox)
     drain(spark, inbox, job, f"{base}/offsets")
@@ -98,6 +100,38 @@ def _ties(rows):
     return sum(1 for r in rows if r[2] < cut) - 80
 
 
+@pytest.mark.parametrize("files", [1, 3, None])
+def test_states_do_not_depend_on_the_cap(spark, rows, waves, tmp_path, files):
+    """Many files, of which a batch takes few: nothing is late. Busy cards come in several jobs."""
+    base = str(tmp_path)
+    log = StateLog(f"{base}/states", buckets=1)
+    log.seed(spark)
+    job = StateJob(log, audit_path=f"{base}/audit")
+    tx = waves[0].unionByName(waves[1]).unionByName(waves[2])
+    export_messages(tx, f"{base}/inbox", card_rows=25)
+    source = read_message_stream(spark, path=f"{base}/inbox", max_files=files)
+    start(source, job, f"{base}/offsets", drain=True).awaitTermination()
+    assert_states(log.current(spark), brute.states(rows, RETENTION))
+    audit = read_batches(spark, f"{base}/audit").agg(F.sum("rows"), F.sum("late_or_repeated")).first()
+    assert tuple(audit) == (len(rows), 0)
+
+
+def test_export_keeps_each_card_in_order(spark, tx, waves, tmp_path):
+    path = str(tmp_path / "inbox")
+    all_rows = waves[0].unionByName(waves[2]).repartition(5)
+    export_messages(all_rows, path)
+    files = [p.read_text().splitlines() for p in (tmp_path / "inbox").glob("part-*")]
+    seen = {}
+    for i, lines in enumerate(files):
+        for message in map(json.loads, lines):
+            value = json.loads(message["value"])
+            order = (value["fecha_hora_transaccion"], value["id_transaccion"])
+            file, last = seen.get(message["key"], (i, order))
+            assert file == i and last <= order
+            seen[message["key"]] = (i, order)
+    assert sum(map(len, files)) == all_rows.count()
+
+
 def test_batch_repeated_after_a_failure(spark, rows, waves, tmp_path):
     """A batch that ran but was not recorded by the stream runs again with the same result."""
     from cardflow.sources.messages import messages

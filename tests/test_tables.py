@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -22,10 +23,10 @@ from cardflow.sources.tables import read_features, read_state_snapshot
 HEADER = "," + ",".join(RAW_COLUMNS)
 
 
-def line(n, ts, card=1, tx="t", unix=0, amount="4.97"):
+def line(n, ts, card=1, tx="t", unix=0, amount="12.50"):
     return (
-        f'{n},{ts},{card},"fraud_Rippin, Kub",misc_net,{amount},Ann,Lee,F,"1 St, B",Town,NC,28654,'
-        f'36.0788,-81.1781,3495,"Job, other",1988-03-09,{tx},{unix},36.011293,-82.048315,0'
+        f'{n},{ts},{card},"Bright, Oak & Co",books,{amount},Noor,Silva,M,"9 Elm, C",Lakeside,OR,97301,'
+        f'44.9501,-123.0302,81200,"Baker, night",1975-11-30,{tx},{unix},44.871205,-122.964417,1'
     )
 
 
@@ -36,12 +37,12 @@ def csv(tmp_path):
         "\n".join(
             [
                 HEADER,
-                line(0, "2019-01-01 00:00:18", tx="t1", unix=9),
-                line(1, "2019-01-01 00:05:18", tx="t2", unix=1, amount="0.1"),
+                line(0, "2018-03-04 10:20:30", tx="t1", unix=9),
+                line(1, "2018-03-04 10:25:30", tx="t2", unix=1, amount="0.3"),
             ]
         )
     )
-    b.write_text("\n".join([HEADER, line(0, "2019-01-01 00:01:00", tx="t3", amount="")]))
+    b.write_text("\n".join([HEADER, line(0, "2018-03-04 10:21:12", tx="t3", amount="")]))
     return [str(a), str(b)]
 
 
@@ -53,10 +54,10 @@ def test_raw_csv_in_any_zone(spark, csv, zone):
         assert df.columns == list(RAW_COLUMNS.values())
         row = df.orderBy("tx_id").first()
         assert (row.merchant, row.job, row.amount, row.home_lon) == (
-            "fraud_Rippin, Kub", "Job, other", 4.97, -81.1781,
+            "Bright, Oak & Co", "Baker, night", 12.5, -123.0302,
         )
-        assert row.birth_date == dt.date(1988, 3, 9)
-        assert read_transactions(spark, csv).agg(F.min("epoch_s")).first()[0] == 1546300818
+        assert row.birth_date == dt.date(1975, 11, 30)
+        assert read_transactions(spark, csv).agg(F.min("epoch_s")).first()[0] == 1520158830
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -68,9 +69,9 @@ def test_history_job_round_trip(spark, csv, tmp_path):
     rejected = build_history(spark, csv, out)
     assert [r["tx_id"] for r in rejected.collect()] == ["t3"]
     table = pq.read_table(out).to_pandas().set_index("tx_id")
-    assert table.loc["t1", "ts"].timestamp() == 1546300818
+    assert table.loc["t1", "ts"].timestamp() == 1520158830
     assert (table.loc["t1", "cnt_10m"], table.loc["t2", "cnt_10m"]) == (0, 1)
-    assert table.loc["t2", "prior_amount"] == 4.97
+    assert table.loc["t2", "prior_amount"] == 12.5
     assert list(read_features(spark, out).columns) == ["card_id", "tx_id", "ts", *HISTORY_FEATURES]
     tx = read_transactions(spark, csv[:1]).select("card_id", "tx_id", "ts")
     joined = {r["tx_id"]: r["cnt_10m"] for r in training_set(spark, tx, out).collect()}
@@ -83,12 +84,25 @@ def test_state_job_round_trip(spark, csv, tmp_path):
     out = str(tmp_path / "state")
     build_state(spark, csv, out, files=1)
     row = read_state_snapshot(spark, out).first()
-    assert (row.n_total, row.last_tx_id, row.last_epoch) == (2, "t2", 1546301118)
-    assert read_state_snapshot(spark, out, end="2019-01-01").isEmpty()
+    assert (row.n_total, row.last_tx_id, row.last_epoch) == (2, "t2", 1520159130)
+    assert read_state_snapshot(spark, out, end="2018-03-04").isEmpty()
     with pytest.raises(Exception):
         read_state_snapshot(spark, str(tmp_path / "nothing")).count()
 
 
+def test_columns_by_header(spark, csv, tmp_path):
+    with open(csv[0]) as f:
+        table = pd.read_csv(f, dtype=str)
+    other = tmp_path / "other.csv"
+    table[["amt", "city_pop", *sorted(c for c in table if c not in ("amt", "city_pop"))]].to_csv(other, index=False)
+    rows = read_raw(spark, [csv[0], str(other)]).collect()
+    assert len(rows) == 4 and len(set(rows)) == 2
+    short = tmp_path / "short.csv"
+    table.drop(columns="dob").to_csv(short, index=False)
+    with pytest.raises(ValueError, match="dob"):
+        read_raw(spark, [str(short)])
+
+
 def test_concat(spark, csv):
     parts = [read_transactions(spark, [p]) for p in csv]
     assert concat_histories(parts).count() == read_transactions(spark, csv).count() == 3
@@ -131,13 +145,13 @@ def test_messages(spark):
 @pytest.mark.parametrize("zone", ["UTC", "America/Argentina/Buenos_Aires"])
 def test_parse_and_reject(spark, zone):
     good = {
-        "id_transaccion": "t", "numero_tarjeta": 1, "fecha_hora_transaccion": "2020-06-21T12:14:25",
+        "id_transaccion": "t", "numero_tarjeta": 1, "fecha_hora_transaccion": "2021-02-03T04:05:06",
         "monto": 2.5, "categoria": "food", "latitud_comercio": 1.0, "longitud_comercio": 2.0,
         "extra": "ignored",
     }
-    bad_time = {**good, "fecha_hora_transaccion": "ayer"}
+    bad_time = {**good, "fecha_hora_transaccion": "03/02/2021"}
     no_amount = {k: v for k, v in good.items() if k != "monto"}
-    values = [json.dumps(good), "esto no es json", json.dumps(no_amount), json.dumps(bad_time), None]
+    values = [json.dumps(good), "{not json", json.dumps(no_amount), json.dumps(bad_time), None]
     df = spark.createDataFrame([(v,) for v in values], "v string").select(
         F.col("v").cast("binary").alias("value")
     )
@@ -145,7 +159,7 @@ def test_parse_and_reject(spark, zone):
     try:
         parsed = parse_messages(df)
         rows = parsed.where(is_complete()).collect()
-        assert len(rows) == 1 and rows[0]["epoch_s"] == 1592741665
+        assert len(rows) == 1 and rows[0]["epoch_s"] == 1612325106
         assert rejected_events(parsed).count() == 4
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
