@@ -68,8 +68,8 @@ NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))
 PARTS = re.compile(r"[a-z]+")
 
 SCHEMA = (
-    "page_id long, url string, host string, row long, has_main boolean, spots array<binary>, "
-    "blocks array<struct<text:string,main:boolean,chrome:boolean,within:array<int>>>"
+    "page_id long, url string, host string, row long, spots array<binary>, text string, "
+    "blocks array<struct<text:string,within:array<int>>>"
 )
 
 
@@ -186,27 +186,34 @@ def _host(url: str | None) -> str:
         return ""
 
 
+def candidates(source: str) -> tuple[list[bytes], list[tuple[str, list[int]]]]:
+    """Hashes of the subtrees, and the blocks that are article text unless a template holds them."""
+    spots, blocks, has_main = parse(source)
+    return spots, [(text, within) for text, main, chrome, within in blocks if not chrome and (main or not has_main)]
+
+
 def _parsed(pages: DataFrame) -> DataFrame:
+    """One row for each page. `text` is there where no template can change it, else `blocks` are."""
+    block = pa.struct([("text", pa.string()), ("within", pa.list_(pa.int32()))])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, urls, texts, rows = (batch.column(i) for i in range(4))
-            out: dict[str, list] = {"host": [], "has_main": [], "spots": [], "blocks": []}
-            for url, source in zip(urls.to_pylist(), texts):
-                spots, blocks, has_main = parse(source.as_py() or "")
-                out["host"].append(_host(url))
-                out["has_main"].append(has_main)
-                out["spots"].append(spots)
-                out["blocks"].append([dict(zip(("text", "main", "chrome", "within"), b)) for b in blocks])
-            block = pa.struct(
-                [("text", pa.string()), ("main", pa.bool_()), ("chrome", pa.bool_()), ("within", pa.list_(pa.int32()))]
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids, urls, pa.array(out["host"], pa.string()), rows, pa.array(out["has_main"], pa.bool_()),
-                    pa.array(out["spots"], pa.list_(pa.binary())), pa.array(out["blocks"], pa.list_(block)),
-                ],
-                names=["page_id", "url", "host", "row", "has_main", "spots", "blocks"],
-            )
+            for at in range(0, batch.num_rows, 1000):
+                ids, urls, sources, rows = batch.slice(at, 1000).columns
+                spots, texts, blocks = [], [], []
+                for source in sources:
+                    found, kept = candidates(source.as_py() or "")
+                    is_open = any(within for _, within in kept)
+                    spots.append(found)
+                    texts.append(None if is_open else "\n".join([text for text, _ in kept]))
+                    blocks.append([{"text": t, "within": w} for t, w in kept] if is_open else None)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids, urls, pa.array([_host(u) for u in urls.to_pylist()], pa.string()), rows,
+                        pa.array(spots, pa.list_(pa.binary())), pa.array(texts, pa.string()), pa.array(blocks, pa.list_(block)),
+                    ],
+                    names=["page_id", "url", "host", "row", "spots", "text", "blocks"],
+                )
 
     return pages.mapInArrow(run, SCHEMA)
 
@@ -243,21 +250,21 @@ def extract(
         ),
         "parsed-pages",
     )
-    spots = parsed.select("row", "host", F.posexplode("spots").alias("at", "spot"))
+    undecided = parsed.where(F.col("text").isNull())
+    spots = undecided.select("row", "host", F.posexplode("spots").alias("at", "spot"))
     found = (
         spots.join(templates(parsed, min_pages, min_share), ["host", "spot"])
         .groupBy("row")
         .agg(F.collect_list("at").alias("template"))
     )
     kept = F.filter(
-        "blocks",
-        lambda b: ~b["chrome"]
-        & (b["main"] | ~F.col("has_main"))
-        & (F.col("template").isNull() | ~F.arrays_overlap(b["within"], F.col("template"))),
+        "blocks", lambda b: F.col("template").isNull() | ~F.arrays_overlap(b["within"], F.col("template"))
     )
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
+    joined = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
+    decided = undecided.join(found, "row", "left").select("page_id", "url", joined.alias("text"))
     return (
-        parsed.join(found, "row", "left")
-        .select("page_id", "url", text.alias("text"))
+        parsed.where(F.col("text").isNotNull())
+        .select("page_id", "url", "text")
+        .unionByName(decided)
         .withColumn("n_chars", F.length("text").cast("long"))
     )
