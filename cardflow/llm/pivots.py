@@ -52,6 +52,17 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """The numbers in the fewest bytes that hold them all."""
+    low, high = int(x.min(initial=0)), int(x.max(initial=0))
+    kind = next(k for k in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(k).min <= low and high <= np.iinfo(k).max)
+    return x.astype(kind).tobytes()
+
+
+def _unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
+    return np.frombuffer(data, f"i{len(data) // (rows * width)}").reshape(rows, width).astype(np.int64)
+
+
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact integer products of rows."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
@@ -138,7 +149,7 @@ def _blocks(assigned: DataFrame, width: int, size: int, by_pivot: bool) -> DataF
                     "n": pa.array([sum(map(len, ids))], pa.int32()),
                     "ids": pa.array([np.concatenate(ids).tobytes()], pa.binary()),
                     "counts": pa.array([np.array([len(i) for i in ids], dtype=np.int64).tobytes()], pa.binary()),
-                    "vectors": pa.array([x.tobytes()], pa.binary()),
+                    "vectors": pa.array([_packed(x)], pa.binary()),
                 }
             )
 
@@ -184,10 +195,9 @@ def _compared(pairs: DataFrame, index: DataFrame, queries: DataFrame, width: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                query, ids, counts, theirs, mine = (batch.column(c)[i].as_py() for c in range(5))
+                query, ids, counts, theirs, mine, n = (batch.column(c)[i].as_py() for c in range(6))
                 ids, counts = np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int64)
-                a = np.frombuffer(mine, np.int64).reshape(-1, width)
-                scores = _products(a, np.frombuffer(theirs, np.int64).reshape(-1, width))
+                scores = _products(_unpacked(mine, n, width), _unpacked(theirs, len(counts), width))
                 entry = np.repeat(np.arange(len(counts)), counts)
                 out: list[tuple] = []
                 for r, s in enumerate(scores):
@@ -203,9 +213,10 @@ def _compared(pairs: DataFrame, index: DataFrame, queries: DataFrame, width: int
                     names=["query", "row", "vec_id", "score"],
                 )
 
-    mine = queries.select(F.col("block").alias("query"), F.col("vectors").alias("mine"))
-    joined = pairs.join(index.select("block", "ids", "counts", "vectors"), "block").join(mine, "query")
-    found = joined.select("query", "ids", "counts", "vectors", "mine").mapInArrow(run, "query long, row int, vec_id long, score long")
+    # the pairs carry the queries' vectors, which are fewer, to the annuli
+    mine = queries.select(F.col("block").alias("query"), F.col("vectors").alias("mine"), F.col("n").alias("asking"))
+    joined = pairs.join(mine, "query").join(index.select("block", "ids", "counts", "vectors"), "block")
+    found = joined.select("query", "ids", "counts", "vectors", "mine", "asking").mapInArrow(run, "query long, row int, vec_id long, score long")
     return _best(found, k + 1)
 
 
@@ -246,13 +257,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                query, x = batch.column(0)[i].as_py(), np.frombuffer(batch.column(1)[i].as_py(), np.int64).reshape(-1, width)
+                query, data, n = (batch.column(c)[i].as_py() for c in range(3))
+                x = _unpacked(data, n, width)
                 bounds = _bounds(x, meta.value, pivots.value)
                 first = _first(bounds, meta.value["n"], k)
                 chosen = first
-                if batch.num_columns > 2:
+                if batch.num_columns > 3:
                     known = np.full(len(x), -np.inf)
-                    for s in batch.column(2)[i].as_py() or ():
+                    for s in batch.column(3)[i].as_py() or ():
                         known[s["row"]] = s["score"]
                     reach = (bounds >= known[:, None]).any(axis=0)
                     reach[first] = False
@@ -261,14 +273,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
                     [pa.array(np.full(len(chosen), query)), pa.array(meta.value["block"][chosen])], names=["query", "block"]
                 )
 
-    asked = queries.select(F.col("block").alias("query"), "vectors")
+    asked = queries.select(F.col("block").alias("query"), "vectors", "n")
     first = saved(_compared(asked.mapInArrow(plan, "query long, block long"), index, queries, width, k), "first-round")
     reached = (
         first.where(F.col("rank") == k + 1)
         .groupBy("query")
         .agg(F.collect_list(F.struct("row", "score")).alias("known"))
     )
-    rest = asked.join(reached, "query", "left").select("query", "vectors", "known")
+    rest = asked.join(reached, "query", "left").select("query", "vectors", "n", "known")
     second = _compared(rest.mapInArrow(plan, "query long, block long"), index, queries, width, k)
     best = _best(first.drop("rank").unionByName(second.drop("rank")), k + 1)
 
