@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardflow.llm import jaccard, packing, pii, quality_rules, substrings
 from cardflow.llm.tables import read, saved
@@ -13,6 +14,13 @@ from cardflow.llm.tables import read, saved
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """`docs` with n_chars of the changed texts, where there is such a column."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality_rules.keep(docs)
@@ -25,12 +33,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of repeated passages, with the rest of their layout."""
-    return substrings.remove_repeats(docs).select(*docs.columns)
+    return _counted(substrings.remove_repeats(docs).select(*docs.columns))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
-    return pii.redact(docs)
+    return _counted(pii.redact(docs))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
