@@ -18,7 +18,7 @@ UNIT = re.compile(
 )
 OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0  -     　]")
 SPECIAL = "<|endoftext|>"
-CACHE = 300_000
+CACHE = 400_000
 LONGEST = 64
 
 
