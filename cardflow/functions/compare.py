@@ -8,7 +8,12 @@ from pyspark.sql import types as T
 
 
 def same_value(a: Column, b: Column, data_type: T.DataType, rel: float = 1e-9) -> Column:
-    """True if both are null, equal, or floating values within a relative tolerance."""
+    """True if both are null, equal, or floating values within a relative tolerance; arrays of
+    floating values are compared entry by entry."""
+    if isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, (T.DoubleType, T.FloatType)):
+        pairs = F.zip_with(a, b, lambda x, y: same_value(x, y, data_type.elementType, rel))
+        close = (F.size(a) == F.size(b)) & F.forall(pairs, lambda p: p)
+        return (a.isNull() & b.isNull()) | F.coalesce(close, F.lit(False))
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         close = F.abs(a - b) <= F.lit(rel) * F.greatest(F.abs(a), F.abs(b))
         return F.coalesce(a.eqNullSafe(b) | close, F.lit(False))

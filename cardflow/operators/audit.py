@@ -66,13 +66,13 @@ def feature_parity(
 
 
 def state_parity(left: DataFrame, right: DataFrame) -> DataFrame:
-    """States of two paths, by card. The amounts inside `recent` are compared in total at the
-    tolerance, its seconds and counts exactly."""
+    """States of two paths, by card. The amounts inside `recent` are compared second by second at
+    the tolerance, its seconds and counts exactly."""
     flat = [
         df.select(
             *[c for c in STATE_COLUMNS if c != "recent"],
             F.transform("recent", lambda r: F.struct(r["epoch_s"], r["n"])).alias("recent_seconds"),
-            F.aggregate("recent", F.lit(0.0), lambda s, r: s + r["amount"]).alias("recent_amount"),
+            F.transform("recent", lambda r: r["amount"]).alias("recent_amount"),
         )
         for df in (left, right)
     ]

@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from cardflow.operators.audit import state_parity
 from cardflow.operators.history import history_features, position_in_card
 from cardflow.operators.skew import SkewPolicy, lookup
 from cardflow.operators.state import card_state, recent_transactions
@@ -77,3 +78,12 @@ def test_mean_of_known_amounts(spark):
 def test_lookup_branches_agree(spark, gaps):
     right = spark.createDataFrame([(111, 1), (222, 2), (999, 3)], "card_id long, v int")
     same(lookup(gaps, right, "card_id"), lookup(gaps, right, "card_id", ALL_HOT))
+
+
+def test_swapped_amounts_are_different_states(spark):
+    rows = [("a", 1, 10, "x", 4.0, 1.0, 1.0), ("b", 1, 20, "x", 9.0, 1.0, 1.0)]
+    swapped = [("a", 1, 10, "x", 9.0, 1.0, 1.0), ("b", 1, 20, "x", 4.0, 1.0, 1.0)]
+    left, right = (card_state(spark.createDataFrame(r, TX_SCHEMA)) for r in (rows, swapped))
+    different = {r["column"] for r in state_parity(left, right).where("different > 0").collect()}
+    assert different == {"recent_amount"}
+    assert state_parity(left, left).where("different > 0").isEmpty()
