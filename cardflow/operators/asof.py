@@ -26,8 +26,11 @@ def asof_join(
     If several right rows share that time, the one whose `tie` equals the left row's wins when
     its time is the left row's own, else the one with the largest `tie`. If `left` has no `tie`
     column only the second rule applies. Keys above the row limit of `policy` are matched by
-    (key, time segment) instead of in one window; the result is the same.
+    (key, time segment) instead of in one window; the result is the same. Left rows without a key
+    or a time match nothing and are not moved.
     """
+    known = F.col(key).isNotNull() & F.col(left_ts).isNotNull()
+    left, outside = left.where(known), left.where(~known)
     own = F.col(tie) if tie in left.columns else F.lit(None)
     tie_type = right.schema[tie].dataType
     lefts = left.select(
@@ -43,35 +46,32 @@ def asof_join(
         F.struct(*columns).alias("_right"),
     )
     matched = by_skew([lefts, rights], "_key", policy, _ordinary, _hot)
-    return matched.select("_left.*", *[F.col("_match")[c].alias(c) for c in columns])
+    found = matched.select("_left.*", *[F.col("_match")[c].alias(c) for c in columns])
+    nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in columns]
+    return found.union(outside.select(*[outside[c] for c in outside.columns], *nothing))
 
 
 def _ordinary(left: DataFrame, right: DataFrame) -> DataFrame:
     """One exchange and one sort by (key, ts, tie): the exact match is a maximum over
-    (key, ts, tie), the latest row a running maximum by (key, ts) that includes equal times.
-    Left rows without a key match nothing and are spread by a salt."""
-    salt = F.when(F.col("_key").isNull(), F.pmod(F.xxhash64("_left"), F.lit(1024)))
+    (key, ts, tie), the latest row a running maximum by (key, ts) that includes equal times."""
     both = left.withColumn("_right", F.lit(None).cast(right.schema["_right"].dataType)).unionByName(
         right.withColumn("_left", F.lit(None).cast(left.schema["_left"].dataType))
     )
-    same = Window.partitionBy("_key", "_salt", "_ts", "_tie")
+    same = Window.partitionBy("_key", "_ts", "_tie")
     until = (
-        Window.partitionBy("_key", "_salt")
+        Window.partitionBy("_key")
         .orderBy("_ts")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     candidate = F.when(F.col("_right").isNotNull(), F.struct("_ts", "_tie", "_right"))
     return (
-        both.withColumn("_salt", salt)
-        .repartition("_key", "_salt")
+        both.repartition("_key")
         .withColumn("_exact", F.when(F.col("_tie").isNotNull(), F.max("_right").over(same)))
         .withColumn("_latest", F.max(candidate).over(until))
         .where(F.col("_left").isNotNull())
         .select(
             "_left",
-            F.when(F.col("_ts").isNotNull(), F.coalesce("_exact", "_latest._right")).alias(
-                "_match"
-            ),
+            F.coalesce("_exact", "_latest._right").alias("_match"),
         )
     )
 
