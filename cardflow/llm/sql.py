@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from cardflow.llm.quality_rules import STOP_WORDS
+
+_STOP = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
+
 SQL: dict[str, str] = {
     "op4_warc": """
         WITH p AS (
@@ -35,4 +39,62 @@ SQL: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op2_substrings": r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS r,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), starts AS (
+            SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35
+        ), windows AS (
+            SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM starts
+        ), repeated AS (
+            SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY h) > 1
+        ), gone AS (
+            SELECT DISTINCT r, unnest(range(i, i + 35)) AS k FROM repeated
+        ), words AS (
+            SELECT r, unnest(range(1, len(w) + 1)) AS k, unnest(w) AS word FROM d
+        ), kept AS (
+            SELECT words.r, string_agg(word, ' ' ORDER BY words.k) AS text
+            FROM words ANTI JOIN gone ON words.r = gone.r AND words.k = gone.k GROUP BY words.r
+        ), removed AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+        SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(removed.n, 0) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON d.r = kept.r LEFT JOIN removed ON d.r = removed.r
+    """,
+    "op8_quality_rules": rf"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents
+        ), starts AS (
+            SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5
+        ), windows AS (
+            SELECT r, i, md5(array_to_string(w[i:i + 4], ' ')) AS h FROM starts
+        ), repeated AS (
+            SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, h) > 1
+        ), covered AS (
+            SELECT r, count(DISTINCT k) AS n
+            FROM (SELECT r, unnest(range(i, i + 5)) AS k FROM repeated) GROUP BY r
+        ), m AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                   CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                   CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   coalesce(covered.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+                   len(regexp_extract_all(t, '\p{{Lu}}')) AS n_upper,
+                   len(list_intersect(w, [{_STOP}])) AS stop_words_seen
+            FROM d LEFT JOIN covered ON d.r = covered.r
+        ), b AS (
+            SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND word_chars BETWEEN 2 * n_words AND 25 * n_words
+               AND 2 * n_symbols <= n_words AND 2 * n_dup_lines <= n_lines
+               AND (n_words < 30 OR 10 * n_upper <= 6 * word_chars)
+               AND (n_words < 80 OR stop_words_seen >= 1) AS kept
+        FROM b
+    """,
 }
