@@ -1,10 +1,14 @@
-"""Sets of 64-bit keys as bitmaps of fixed size, small enough to broadcast whatever the data.
+"""Sets of 64-bit keys as bitmaps of fixed size, small enough to broadcast whatever the data. They
+are sent compressed, so a set of few keys costs little.
 
 A bitmap may hold keys nobody put in, so it only serves where a false member costs work and changes
 no result. The more keys, the less it spares; its size, and what passes through the driver, stay."""
 
 from __future__ import annotations
 
+import uuid
+import zlib
+
 import numpy as np
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -15,7 +19,31 @@ BITS = 27
 _ROW = 15
 
 
-def build(keys: DataFrame, key: str, members: dict[str, Column], bits: int = BITS) -> dict[str, Broadcast]:
+_OPEN: dict[str, np.ndarray] = {}
+
+
+class Bitmap:
+    """A broadcast bitmap; `value` opens it once in each worker."""
+
+    def __init__(self, sent: Broadcast):
+        self.sent, self.name = sent, uuid.uuid4().hex
+
+    @property
+    def value(self) -> np.ndarray:
+        if self.name not in _OPEN:
+            while len(_OPEN) >= 3:
+                del _OPEN[next(iter(_OPEN))]
+            _OPEN[self.name] = np.frombuffer(zlib.decompress(self.sent.value), dtype=np.uint8)
+        return _OPEN[self.name]
+
+
+def drop(bitmaps: dict[str, Bitmap]) -> None:
+    """Frees them everywhere, once nothing is left to compute with them."""
+    for b in bitmaps.values():
+        b.sent.destroy()
+
+
+def build(keys: DataFrame, key: str, members: dict[str, Column], bits: int = BITS) -> dict[str, Bitmap]:
     """One broadcast bitmap for each condition in `members`, in one pass over `keys`."""
     at = F.col(key).bitwiseAND(F.lit((1 << bits) - 1))
     rows = (
@@ -29,7 +57,7 @@ def build(keys: DataFrame, key: str, members: dict[str, Column], bits: int = BIT
         for n in members:
             out[n][row["row"] * step : (row["row"] + 1) * step] = np.frombuffer(row[n], dtype=np.uint8)
     context = keys.sparkSession.sparkContext
-    return {n: context.broadcast(b) for n, b in out.items()}
+    return {n: Bitmap(context.broadcast(zlib.compress(b.tobytes(), 1))) for n, b in out.items()}
 
 
 def contains(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:

@@ -10,8 +10,8 @@ Equal sets are one class from the start. Then, by size:
   connects whatever the group connects, without its pairs.
 - Large sets scan inverted lists. Two linked sets share one of the first n - need + 1 shingles of any
   order, so only those are listed. The order puts very frequent shingles last. Set sizes and the
-  parity signatures of `BITS` bits bound the difference of two sets from below, so that few pairs
-  are left to verify with the whole sets.
+  parity signatures bound the difference of two sets from below (those of large sets by wider
+  signatures, kept beside the lists), so that few pairs are left to verify with the whole sets.
 - The boundary is the size at which the estimated work of both is least.
 
 A long list does not emit its pairs. It is dealt into blocks of `BLOCK`; each set proposes its nearest
@@ -38,10 +38,11 @@ from pyspark.sql import functions as F
 
 from cardflow.llm import bitmaps
 from cardflow.llm.components import components
-from cardflow.llm.tables import partitions, saved
+from cardflow.llm.tables import Scratch, partitions, saved
 from cardflow.llm.words import Words, chunks, gram_rows, grams
 
 BITS = 512
+WIDE_BITS = 8192
 FREQUENT = 100
 SHORT_LIST = 64
 BLOCK = 2000
@@ -62,6 +63,11 @@ def least_size(n, percent: int):
     return -(-percent * n // 100)
 
 
+def is_wide(n, percent: int):
+    """Whether so many shingles may differ that the short signature no longer tells sets apart."""
+    return 2 * n - 2 * need(n, n, percent) > BITS // 4
+
+
 def subset_count(n: int, percent: int) -> int:
     return sum(comb(n, n - i) for i in range(least_size(n, percent), n + 1))
 
@@ -96,6 +102,11 @@ class Sets:
         odd = np.bincount(place, minlength=len(self.sizes) * BITS) & 1
         return np.packbits(odd.reshape(-1, BITS).astype(np.uint8), axis=1)
 
+    def wide(self, i: int) -> bytes:
+        """The same for one set in `WIDE_BITS` classes."""
+        place = (self.tokens[self.at[i] : self.at[i + 1]] >> np.uint64(64 - 13)).astype(np.int64)
+        return np.packbits((np.bincount(place, minlength=WIDE_BITS) & 1).astype(np.uint8)).tobytes()
+
 
 def _prefixes(sets: Sets, percent: int, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Set number and token of the prefix of every set: the first tokens, frequent ones last."""
@@ -111,7 +122,8 @@ def _prefixes(sets: Sets, percent: int, frequent: np.ndarray | None = None) -> t
 
 
 def _described(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, doc (MD5 of the text), n, digest (null for an empty set), tokens (the prefix)."""
+    """doc_id, doc (MD5 of the text), n, digest (null for an empty set), tokens (the prefix), the
+    whole set where it is small and the wide signature where it is large."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,6 +133,8 @@ def _described(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 owner, token = _prefixes(sets, percent)
                 ends = np.searchsorted(owner, np.arange(len(sets.sizes) + 1))
                 raw = data.tobytes()
+                little = sets.sizes[sets.owner] < MOST_SMALL
+                small_ends = np.searchsorted(sets.owner[little], np.arange(len(sets.sizes) + 1))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(i, j - i),
@@ -128,11 +142,19 @@ def _described(docs: DataFrame, k: int, percent: int) -> DataFrame:
                         pa.array(sets.sizes.astype(np.int64)),
                         pa.array([sets.digest(x) if n else None for x, n in enumerate(sets.sizes.tolist())], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(token.view(np.int64))),
+                        pa.ListArray.from_arrays(
+                            pa.array(small_ends.astype(np.int32)), pa.array(sets.tokens[little].view(np.int64))
+                        ),
+                        pa.array(
+                            [sets.wide(x) if w else None for x, w in enumerate(is_wide(sets.sizes, percent).tolist())],
+                            pa.binary(),
+                        ),
                     ],
-                    names=["doc_id", "doc", "n", "digest", "tokens"],
+                    names=["doc_id", "doc", "n", "digest", "tokens", "small", "wide"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, doc binary, n long, digest binary, tokens array<long>")
+    schema = "doc_id long, doc binary, n long, digest binary, tokens array<long>, small array<long>, wide binary"
+    return docs.mapInArrow(run, schema)
 
 
 def _boundary(described: DataFrame, percent: int) -> int:
@@ -151,34 +173,28 @@ def _boundary(described: DataFrame, percent: int) -> int:
     return min(options, key=lambda x: (cost(x), x))
 
 
-def _light_links(docs: DataFrame, k: int, percent: int, below: int) -> DataFrame:
+def _light_links(described: DataFrame, percent: int, below: int) -> DataFrame:
     """a, b: links among sets smaller than `below`."""
+    light = described.where((F.col("n") > 0) & (F.col("n") < below)).select("digest", "small").dropDuplicates(["digest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in chunks(batch.column(1)):
-                sets = Sets(data, offsets, k)
+            for at in range(0, batch.num_rows, 100):
                 rows: list[tuple] = []
-                seen = set()
-                for i in np.flatnonzero((sets.sizes > 0) & (sets.sizes < below)).tolist():
-                    digest = sets.digest(i)
-                    if digest in seen:
-                        continue
-                    seen.add(digest)
-                    tokens = [t.tobytes() for t in sets.tokens[sets.at[i] : sets.at[i + 1]]]
+                for digest, small in zip(*(c.slice(at, 100).to_pylist() for c in batch.columns)):
+                    tokens = [t.to_bytes(8, "little", signed=True) for t in small]
                     n = len(tokens)
                     for size in range(least_size(n, percent), n + 1):
                         for subset in combinations(tokens, size):
                             key = hashlib.blake2b(b"".join(subset), digest_size=16).digest()
                             rows.append((key, size, digest, n))
-                if rows:
-                    key, size, digest, n = zip(*rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key, pa.binary()), pa.array(size, pa.int32()), pa.array(digest, pa.binary()), pa.array(n, pa.int32())],
-                        names=["key", "size", "digest", "n"],
-                    )
+                key, size, digest, n = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key, pa.binary()), pa.array(size, pa.int32()), pa.array(digest, pa.binary()), pa.array(n, pa.int32())],
+                    names=["key", "size", "digest", "n"],
+                )
 
-    subsets = docs.mapInArrow(run, "key binary, size int, digest binary, n int").distinct()
+    subsets = light.mapInArrow(run, "key binary, size int, digest binary, n int")
     heads = subsets.groupBy("key").agg(F.min(F.struct("n", "digest")).alias("head"), F.count("*").alias("c"))
     required = F.ceil(F.lit(percent) * (F.col("n") + F.col("head.n")) / F.lit(100 + percent))
     return (
@@ -226,8 +242,8 @@ def _entries(docs: DataFrame, k: int, percent: int, shared, frequent, least: int
 def _passing(n: np.ndarray, sign: np.ndarray, i: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows `i` against all: which may link, and a lower bound of how many shingles differ."""
     differ = np.bitwise_count(sign[i, None, :] ^ sign[None, :, :]).sum(axis=2, dtype=np.int32)
-    both = n[i, None] + n[None, :]
-    return differ <= both - 2 * need(n[i, None], n[None, :], percent), differ
+    both, least = n[i, None] + n[None, :], need(n[i, None], n[None, :], percent)
+    return (differ <= both - 2 * least) & (least <= np.minimum(n[i, None], n[None, :])), differ
 
 
 def _proposed(rows: DataFrame, percent: int, second: bool) -> DataFrame:
@@ -312,11 +328,32 @@ def _pair_batch(found: set) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+def _narrowed(described: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the wide signatures of large sets let pass."""
+    wide = described.where(F.col("wide").isNotNull()).groupBy("digest").agg(F.first("wide").alias("w"), F.first("n").alias("n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, m, y, n in zip(*(batch.column(c).to_pylist() for c in range(2, 6))):
+                if x is not None and y is not None:
+                    differ = int(np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum())
+                    keep.append(differ <= m + n - 2 * need(m, n, percent))
+                else:
+                    keep.append(True)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = wide.select(F.col("digest").alias("a"), F.col("w").alias("x"), F.col("n").alias("m"))
+    right = wide.select(F.col("digest").alias("b"), F.col("w").alias("y"), "n")
+    return pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "x", "m", "y", "n").mapInArrow(run, "a binary, b binary")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs that link, by their whole sets. Only the sets that are asked for are moved."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
     head = F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long")
-    wanted = bitmaps.build(asked.select(head.alias("key")), "key", {"wanted": F.lit(True)}, bits=24)["wanted"]
+    maps = bitmaps.build(asked.select(head.alias("key")), "key", {"wanted": F.lit(True)}, bits=24)
+    wanted = maps["wanted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
@@ -336,7 +373,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
                     yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array(tokens, pa.binary())], names=["digest", "tokens"])
 
     sets = docs.mapInArrow(run, "digest binary, tokens binary").groupBy("digest").agg(F.first("tokens").alias("tokens"))
-    sets = saved(sets.join(asked, "digest", "left_semi"), "sets")
+    sets = scratch.saved(sets.join(asked, "digest", "left_semi"), "sets")
+    bitmaps.drop(maps)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -355,29 +393,33 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, doc (MD5 of the text), n, digest and label (the same for all of a component; null for
     an empty set) of every row."""
+    with Scratch(docs.sparkSession) as scratch:
+        return saved(_classes(docs, id, text, k, percent, scratch), "classes")
+
+
+def _classes(docs: DataFrame, id: str, text: str, k: int, percent: int, scratch: Scratch) -> DataFrame:
     texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    described = saved(_described(texts, k, percent), "described")
+    described = scratch.saved(_described(texts, k, percent), "described")
     below = _boundary(described, percent)
-    links = saved(_light_links(texts, k, percent, below), "light-links")
+    links = scratch.saved(_light_links(described, percent, below), "light-links")
 
     counted = described.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
     maps = bitmaps.build(counted, "token", {"shared": F.lit(True), "frequent": F.col("c") >= FREQUENT})
-    entries = saved(
+    entries = scratch.saved(
         _entries(texts, k, percent, maps["shared"], maps["frequent"], least_size(below, percent)), "lists"
     )
+    bitmaps.drop(maps)
     lengths = entries.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
     parts = F.ceil(F.col("length") / BLOCK).cast("int")
     listed = entries.join(lengths.withColumn("parts", parts), "token")
     part = F.pmod(F.xxhash64("digest", "token"), F.col("parts")).cast("int")
-    first = saved(
-        _proposed(
-            listed.select("token", part.alias("part"), "digest", "n", "sign", F.col("digest").alias("comp"), F.lit(True).alias("minor")),
-            percent,
-            second=False,
-        ),
-        "proposed",
+    first = _proposed(
+        listed.select("token", part.alias("part"), "digest", "n", "sign", F.col("digest").alias("comp"), F.lit(True).alias("minor")),
+        percent,
+        second=False,
     )
-    links = saved(links.union(_verified(texts, first, k, percent)), "links")
+    first = scratch.saved(_narrowed(described, first, percent), "proposed")
+    links = scratch.saved(links.union(_verified(texts, first, k, percent, scratch)), "links")
     labels = components(links)
 
     long_lists = listed.where(F.col("length") > SHORT_LIST)
@@ -400,9 +442,9 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 3,
         percent,
         second=True,
     ).join(first, ["a", "b"], "left_anti")
-    second = saved(second, "proposed")
+    second = scratch.saved(_narrowed(described, second, percent), "proposed")
     if not second.isEmpty():
-        more = saved(_verified(texts, second, k, percent), "links")
+        more = scratch.saved(_verified(texts, second, k, percent, scratch), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
     return described.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select(
@@ -412,7 +454,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 3,
 
 def component_ids(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
-    found = saved(classes(docs, id, text, k, percent), "classes")
+    found = classes(docs, id, text, k, percent)
     least = found.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc_id").alias("least"))
     return found.join(least, "label", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")

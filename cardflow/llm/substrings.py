@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardflow.llm import bitmaps
-from cardflow.llm.tables import partitions, saved
+from cardflow.llm.tables import Scratch, partitions, saved
 from cardflow.llm.words import Words, chunks, gram_rows, grams
 
 WINDOW = 35
@@ -271,20 +271,15 @@ def repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, gram: int
     texts = docs.select(F.col(text).alias("_text"))
     members = {"shared": F.lit(True), "frequent": F.col("n") >= frequent}
     maps = bitmaps.build(_leaders(texts, window, gram).where("n > 1"), "key", members)
-    found = saved(_segments(texts, maps["shared"], maps["frequent"], window, gram), "segments")
-    distinct = found.groupBy("key", "segment").agg(F.count("*").alias("n"), F.first("words").alias("words"))
-    ranges = saved(_matched(distinct, window, gram), "ranges")
-    return (
-        found.select("segment", "doc", "at")
-        .distinct()
-        .join(ranges, "segment")
-        .groupBy("doc")
-        .agg(
-            F.collect_list(
-                F.struct((F.col("at") + F.col("first")).alias("start"), (F.col("at") + F.col("last") + window).alias("end"))
-            ).alias("spans")
-        )
-    )
+    span = F.struct((F.col("at") + F.col("first")).alias("start"), (F.col("at") + F.col("last") + window).alias("end"))
+    with Scratch(docs.sparkSession) as scratch:
+        found = scratch.saved(_segments(texts, maps["shared"], maps["frequent"], window, gram), "segments")
+        bitmaps.drop(maps)
+        distinct = found.groupBy("key", "segment").agg(F.count("*").alias("n"), F.first("words").alias("words"))
+        ranges = scratch.saved(_matched(distinct, window, gram), "ranges")
+        places = found.select("segment", "doc", "at").distinct()
+        spans = places.join(ranges, "segment").groupBy("doc").agg(F.collect_list(span).alias("spans"))
+        return saved(spans, "spans")
 
 
 def _cut(text: bytes, spans: list[tuple[int, int]], layout: bool) -> tuple[int, int, bytes]:
