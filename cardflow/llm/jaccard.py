@@ -210,9 +210,10 @@ _ENTRY = "token long, digest binary, n int, sign binary"
 
 def _entries(docs: DataFrame, k: int, percent: int, shared, frequent, least: int) -> DataFrame:
     """The inverted lists' rows, of sets of at least `least` shingles; tokens known to be in one set
-    only are left out."""
+    only are left out. A task lists equal sets once, so of many copies few rows are left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed: set[bytes] = set()
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(1)):
                 sets = Sets(data, offsets, k)
@@ -225,8 +226,13 @@ def _entries(docs: DataFrame, k: int, percent: int, shared, frequent, least: int
                 owner, token = owner[take], token[take]
                 sign = sets.signatures()
                 digests: dict[int, bytes] = {}
+                again = np.zeros(len(sets.sizes), dtype=bool)
                 for i in np.unique(owner).tolist():
                     digests[i] = sets.digest(i)
+                    again[i] = digests[i] in listed
+                    if len(listed) < 200_000:
+                        listed.add(digests[i])
+                owner, token = owner[~again[owner]], token[~again[owner]]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(token.view(np.int64)), pa.array([digests[i] for i in owner.tolist()], pa.binary()),
@@ -235,8 +241,7 @@ def _entries(docs: DataFrame, k: int, percent: int, shared, frequent, least: int
                     names=["token", "digest", "n", "sign"],
                 )
 
-    rows = docs.mapInArrow(run, _ENTRY)
-    return rows.groupBy("token", "digest").agg(F.first("n").alias("n"), F.first("sign").alias("sign"))
+    return docs.mapInArrow(run, _ENTRY)
 
 
 def _passing(n: np.ndarray, sign: np.ndarray, i: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +258,8 @@ def _proposed(rows: DataFrame, percent: int, second: bool) -> DataFrame:
     longer one. Second round: all that pass between components, at least one of them minor."""
 
     def pairs(digest: np.ndarray, n: np.ndarray, sign: np.ndarray, comp: np.ndarray, minor: np.ndarray) -> set:
-        order = np.lexsort((digest, n))
+        order = np.unique(digest, return_index=True)[1]
+        order = order[np.argsort(n[order], kind="stable")]
         digest, n, sign, comp, minor = digest[order], n[order], sign[order], comp[order], minor[order]
         size, out = len(n), set()
         for start in range(0, size, 64):
