@@ -354,23 +354,29 @@ def _narrowed(described: DataFrame, pairs: DataFrame, percent: int) -> DataFrame
     return pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "x", "m", "y", "n").mapInArrow(run, "a binary, b binary")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs that link, by their whole sets. Only the sets that are asked for are moved."""
+def _verified(
+    docs: DataFrame, described: DataFrame, pairs: DataFrame, k: int, percent: int, scratch: Scratch
+) -> DataFrame:
+    """The pairs that link, by their whole sets. Only one text of each set that is asked for is cut
+    into shingles again, and only these sets are moved."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
-    head = F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long")
-    maps = bitmaps.build(asked.select(head.alias("key")), "key", {"wanted": F.lit(True)}, bits=24)
+    sources = described.join(asked, "digest", "left_semi").groupBy("digest").agg(F.min("doc").alias("doc"))
+    head = F.conv(F.hex(F.substring("doc", 1, 7)), 16, 10).cast("long")
+    maps = bitmaps.build(sources.select(head.alias("key")), "key", {"wanted": F.lit(True)}, bits=24)
     wanted = maps["wanted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
         for batch in batches:
-            for _, _, data, offsets in chunks(batch.column(1)):
+            texts = batch.column(1).fill_null("")
+            heads = [int.from_bytes(hashlib.md5(t.as_py()).digest()[:7], "big") for t in texts.cast(pa.binary())]
+            asked_for = bitmaps.contains(wanted.value, np.array(heads, dtype=np.uint64))
+            for _, _, data, offsets in chunks(texts.filter(pa.array(asked_for))):
                 sets = Sets(data, offsets, k)
                 rows = []
                 for i in np.flatnonzero(sets.sizes).tolist():
                     digest = sets.digest(i)
-                    key = np.array([int.from_bytes(digest[:7], "big")], dtype=np.uint64)
-                    if digest not in sent and bitmaps.contains(wanted.value, key)[0]:
+                    if digest not in sent:
                         rows.append((digest, sets.tokens[sets.at[i] : sets.at[i + 1]].tobytes()))
                         if len(sent) < 200_000:
                             sent.add(digest)
@@ -425,7 +431,7 @@ def _classes(docs: DataFrame, id: str, text: str, k: int, percent: int, scratch:
         second=False,
     )
     first = scratch.saved(_narrowed(described, first, percent), "proposed")
-    links = scratch.saved(links.union(_verified(texts, first, k, percent, scratch)), "links")
+    links = scratch.saved(links.union(_verified(texts, described, first, k, percent, scratch)), "links")
     labels = components(links)
 
     long_lists = listed.where(F.col("length") > SHORT_LIST)
@@ -450,7 +456,7 @@ def _classes(docs: DataFrame, id: str, text: str, k: int, percent: int, scratch:
     ).join(first, ["a", "b"], "left_anti")
     second = scratch.saved(_narrowed(described, second, percent), "proposed")
     if not second.isEmpty():
-        more = scratch.saved(_verified(texts, second, k, percent, scratch), "links")
+        more = scratch.saved(_verified(texts, described, second, k, percent, scratch), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
     return described.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select(
