@@ -205,12 +205,13 @@ def _light_links(described: DataFrame, percent: int, below: int) -> DataFrame:
     )
 
 
+_LISTED = "digest binary, n int, sign binary, tokens array<long>"
 _ENTRY = "token long, digest binary, n int, sign binary"
 
 
-def _entries(docs: DataFrame, k: int, percent: int, shared, frequent, least: int) -> DataFrame:
-    """The inverted lists' rows, of sets of at least `least` shingles; tokens known to be in one set
-    only are left out. A task lists equal sets once, so of many copies few rows are left."""
+def _listed(docs: DataFrame, k: int, percent: int, frequent, least: int) -> DataFrame:
+    """The sets of at least `least` shingles, with the whole prefix in the order that the lists use. A
+    task lists equal sets once, so of many copies few rows are left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed: set[bytes] = set()
@@ -218,30 +219,47 @@ def _entries(docs: DataFrame, k: int, percent: int, shared, frequent, least: int
             for _, _, data, offsets in chunks(batch.column(1)):
                 sets = Sets(data, offsets, k)
                 owner, token = _prefixes(sets, percent, frequent.value)
-                plain_owner, plain_token = _prefixes(sets, percent)
-                # a token that only moved into the prefix has not been counted
-                mark = np.uint64(0x9E3779B97F4A7C15)
-                counted = np.isin(token ^ (owner.astype(np.uint64) * mark), plain_token ^ (plain_owner.astype(np.uint64) * mark))
-                take = (~counted | bitmaps.contains(shared.value, token)) & (sets.sizes[owner] >= least)
-                owner, token = owner[take], token[take]
+                rows, digests = [], []
+                for i in np.flatnonzero(sets.sizes >= max(least, 1)).tolist():
+                    digest = sets.digest(i)
+                    if digest not in listed:
+                        rows.append(i)
+                        digests.append(digest)
+                        if len(listed) < 200_000:
+                            listed.add(digest)
                 sign = sets.signatures()
-                digests: dict[int, bytes] = {}
-                again = np.zeros(len(sets.sizes), dtype=bool)
-                for i in np.unique(owner).tolist():
-                    digests[i] = sets.digest(i)
-                    again[i] = digests[i] in listed
-                    if len(listed) < 200_000:
-                        listed.add(digests[i])
-                owner, token = owner[~again[owner]], token[~again[owner]]
+                chosen = np.zeros(len(sets.sizes), dtype=bool)
+                chosen[rows] = True
+                token, owner = token[chosen[owner]], owner[chosen[owner]]
+                ends = np.append(np.searchsorted(owner, rows), len(owner)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(token.view(np.int64)), pa.array([digests[i] for i in owner.tolist()], pa.binary()),
-                        pa.array(sets.sizes[owner].astype(np.int32)), pa.array([sign[i].tobytes() for i in owner.tolist()], pa.binary()),
+                        pa.array(digests, pa.binary()), pa.array(sets.sizes[chosen].astype(np.int32)),
+                        pa.array([sign[i].tobytes() for i in rows], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(token.view(np.int64))),
                     ],
-                    names=["token", "digest", "n", "sign"],
+                    names=["digest", "n", "sign", "tokens"],
                 )
 
-    return docs.mapInArrow(run, _ENTRY)
+    return docs.mapInArrow(run, _LISTED)
+
+
+def _entries(listed: DataFrame, shared) -> DataFrame:
+    """The inverted lists' rows. `shared` holds the tokens of more than one row of `listed`, counted in
+    the same prefixes: what it leaves out has no partner."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column(3)
+            row = np.repeat(np.arange(batch.num_rows), tokens.value_lengths().to_numpy())
+            token = tokens.flatten().to_numpy()
+            take = bitmaps.contains(shared.value, token.view(np.uint64))
+            row = pa.array(row[take])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token[take]), *[batch.column(c).take(row) for c in range(3)]], names=["token", "digest", "n", "sign"]
+            )
+
+    return listed.mapInArrow(run, _ENTRY)
 
 
 def _passing(n: np.ndarray, sign: np.ndarray, i: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -415,13 +433,15 @@ def _classes(docs: DataFrame, id: str, text: str, k: int, percent: int, scratch:
     below = _boundary(described, percent)
     links = scratch.saved(_light_links(described, percent, below), "light-links")
 
-    counted = described.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
-    maps = bitmaps.build(counted, "token", {"shared": F.lit(True), "frequent": F.col("c") >= FREQUENT})
-    entries = scratch.saved(
-        _entries(texts, k, percent, maps["shared"], maps["frequent"], least_size(below, percent)), "lists"
-    )
+    counted = described.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
+    maps = bitmaps.build(counted.where(F.col("c") >= FREQUENT), "token", {"frequent": F.lit(True)})
+    chosen = scratch.saved(_listed(texts, k, percent, maps["frequent"], least_size(below, percent)), "listed")
+    bitmaps.drop(maps)
+    lengths = chosen.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("length"))
+    lengths = scratch.saved(lengths.where("length > 1"), "lengths")
+    maps = bitmaps.build(lengths, "token", {"shared": F.lit(True)})
+    entries = scratch.saved(_entries(chosen, maps["shared"]), "lists")
     bitmaps.drop(maps)
-    lengths = entries.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
     parts = F.ceil(F.col("length") / BLOCK).cast("int")
     listed = entries.join(lengths.withColumn("parts", parts), "token")
     part = F.pmod(F.xxhash64("digest", "token"), F.col("parts")).cast("int")

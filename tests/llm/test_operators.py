@@ -242,6 +242,34 @@ def test_components_with_blocks_and_frequent_tokens(docs, texts, monkeypatch):
     assert Counter(map(tuple, got)) == Counter(plain.classes(texts, 3, 80))
 
 
+def in_hash_order(text, k=3):
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    return jaccard.Sets(data, np.array([0, len(data)]), k).tokens.tolist()
+
+
+def test_link_by_a_token_that_moves_into_one_prefix_only(spark):
+    """A's prefix {f, t} and B's {y, f} become {t, u} and {y, t} when f is frequent."""
+    rng = random.Random(6)
+
+    def made(n):
+        return " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+
+    f = min((in_hash_order(x := made(3))[0], x) for _ in range(400))[1]
+    least = in_hash_order(f)[0]
+    while in_hash_order(a := f + " " + made(17))[0] != least:
+        pass
+    while in_hash_order(b := a + " " + made(1)).index(least) != 1:
+        pass
+    others = []
+    while len(others) < 100:
+        if least in in_hash_order(x := f + " " + made(27))[:3]:
+            others.append(x)
+    rows = list(enumerate([*others, a, b]))
+    got = jaccard.component_ids(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter(map(tuple, got)) == Counter(plain.classes(rows, 3, 90))
+    assert {r["component_id"] for r in got if r["doc_id"] >= 100} == {100}
+
+
 def test_one_of_each_class_stays(docs, texts):
     kept = jaccard.one_per_class(docs, k=3, percent=80)
     assert kept.columns == docs.columns
