@@ -9,7 +9,7 @@ Equal sets are one class from the start. Then, by size:
   in each group of one subset the smallest set links to every other whose need is at most i. That
   connects whatever the group connects, without its pairs.
 - Large sets scan inverted lists. Two linked sets share one of the first n - need + 1 shingles of any
-  order, so only those are listed. The order puts very frequent shingles last. Set sizes and the
+  order, so only those are listed. The order puts last what is frequent in whole sets. Set sizes and the
   parity signatures bound the difference of two sets from below (those of large sets by wider
   signatures, kept beside the lists), so that few pairs are left to verify with the whole sets.
 - The boundary is the size at which the estimated work of both is least.
@@ -51,6 +51,9 @@ PROPOSED = 2
 LIST_COST = 8
 MOST_SUBSETS = 1000
 MOST_SMALL = 40
+#: Tokens a task counts at once, and the least count in a task that it reports.
+MOST_COUNTED = 1_000_000
+LEAST_COUNT = 2
 
 
 def need(a, b, percent: int):
@@ -121,39 +124,80 @@ def _prefixes(sets: Sets, percent: int, frequent: np.ndarray | None = None) -> t
     return owner[take], token[take]
 
 
+class Counts:
+    """Sets that hold each token, counted over whole sets. When there are more than `MOST_COUNTED`
+    tokens, the rarest half go, so a count may be too low; it only serves for an order."""
+
+    def __init__(self):
+        self.token, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.waiting: list[np.ndarray] = []
+
+    def add(self, tokens: np.ndarray) -> None:
+        self.waiting.append(tokens)
+        if sum(map(len, self.waiting)) > 2 * MOST_COUNTED:
+            self._merge()
+
+    def _merge(self) -> None:
+        token, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.waiting]), return_counts=True)
+        self.waiting = []
+        both, at = np.unique(np.concatenate([self.token, token]), return_inverse=True)
+        total = np.bincount(at, np.concatenate([self.count, count]), len(both)).astype(np.int64)
+        if len(both) > MOST_COUNTED:
+            most = np.sort(np.argpartition(total, -(MOST_COUNTED // 2))[-(MOST_COUNTED // 2) :])
+            both, total = both[most], total[most]
+        self.token, self.count = both, total
+
+    def repeated(self) -> tuple[np.ndarray, np.ndarray]:
+        self._merge()
+        take = self.count >= LEAST_COUNT
+        return self.token[take], self.count[take]
+
+
 def _described(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, doc (MD5 of the text), n, digest (null for an empty set), tokens (the prefix), the
-    whole set where it is small and the wide signature where it is large."""
+    """doc_id, doc (MD5 of the text), n, digest (null for an empty set), the whole set where it is
+    small and the wide signature where it is large. Besides, rows without a doc: token and count of
+    what recurs in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Counts()
         for batch in batches:
             ids = batch.column(0)
             for i, j, data, offsets in chunks(batch.column(1)):
                 sets = Sets(data, offsets, k)
-                owner, token = _prefixes(sets, percent)
-                ends = np.searchsorted(owner, np.arange(len(sets.sizes) + 1))
+                seen.add(sets.tokens)
                 raw = data.tobytes()
                 little = sets.sizes[sets.owner] < MOST_SMALL
                 small_ends = np.searchsorted(sets.owner[little], np.arange(len(sets.sizes) + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(i, j - i),
-                        pa.array([hashlib.md5(raw[a:b]).digest() for a, b in zip(offsets[:-1], offsets[1:])], pa.binary()),
-                        pa.array(sets.sizes.astype(np.int64)),
-                        pa.array([sets.digest(x) if n else None for x, n in enumerate(sets.sizes.tolist())], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(token.view(np.int64))),
-                        pa.ListArray.from_arrays(
-                            pa.array(small_ends.astype(np.int32)), pa.array(sets.tokens[little].view(np.int64))
-                        ),
-                        pa.array(
-                            [sets.wide(x) if w else None for x, w in enumerate(is_wide(sets.sizes, percent).tolist())],
-                            pa.binary(),
-                        ),
-                    ],
-                    names=["doc_id", "doc", "n", "digest", "tokens", "small", "wide"],
+                yield rows(
+                    j - i,
+                    doc_id=ids.slice(i, j - i),
+                    doc=pa.array([hashlib.md5(raw[a:b]).digest() for a, b in zip(offsets[:-1], offsets[1:])], pa.binary()),
+                    n=pa.array(sets.sizes.astype(np.int64)),
+                    digest=pa.array([sets.digest(x) if n else None for x, n in enumerate(sets.sizes.tolist())], pa.binary()),
+                    small=pa.ListArray.from_arrays(
+                        pa.array(small_ends.astype(np.int32)), pa.array(sets.tokens[little].view(np.int64))
+                    ),
+                    wide=pa.array(
+                        [sets.wide(x) if w else None for x, w in enumerate(is_wide(sets.sizes, percent).tolist())],
+                        pa.binary(),
+                    ),
                 )
+        token, count = seen.repeated()
+        for at in range(0, len(token), 10_000):
+            part = slice(at, at + 10_000)
+            yield rows(len(token[part]), token=pa.array(token[part].view(np.int64)), c=pa.array(count[part]))
+
+    types = {
+        "doc_id": pa.int64(), "doc": pa.binary(), "n": pa.int64(), "digest": pa.binary(),
+        "small": pa.list_(pa.int64()), "wide": pa.binary(), "token": pa.int64(), "c": pa.int64(),
+    }
+
+    def rows(count: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [columns.get(name, pa.nulls(count, t)) for name, t in types.items()], names=list(types)
+        )
 
-    schema = "doc_id long, doc binary, n long, digest binary, tokens array<long>, small array<long>, wide binary"
+    schema = "doc_id long, doc binary, n long, digest binary, small array<long>, wide binary, token long, c long"
     return docs.mapInArrow(run, schema)
 
 
@@ -205,6 +249,11 @@ def _light_links(described: DataFrame, percent: int, below: int) -> DataFrame:
     )
 
 
+def _frequent(found: DataFrame) -> dict[str, bitmaps.Bitmap]:
+    counted = found.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("c").alias("c"))
+    return bitmaps.build(counted.where(F.col("c") >= FREQUENT), "token", {"frequent": F.lit(True)})
+
+
 _LISTED = "digest binary, n int, sign binary, tokens array<long>"
 _ENTRY = "token long, digest binary, n int, sign binary"
 
@@ -262,40 +311,80 @@ def _entries(listed: DataFrame, shared) -> DataFrame:
     return listed.mapInArrow(run, _ENTRY)
 
 
-def _passing(n: np.ndarray, sign: np.ndarray, i: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows `i` against all: which may link, and a lower bound of how many shingles differ."""
-    differ = np.bitwise_count(sign[i, None, :] ^ sign[None, :, :]).sum(axis=2, dtype=np.int32)
-    both, least = n[i, None] + n[None, :], need(n[i, None], n[None, :], percent)
-    return (differ <= both - 2 * least) & (least <= np.minimum(n[i, None], n[None, :])), differ
+def _passing(
+    n: np.ndarray, sign: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows `i` against rows `j`: which may link, and a lower bound of how many shingles differ."""
+    differ = np.bitwise_count(sign[i, None, :] ^ sign[None, j, :]).sum(axis=2, dtype=np.int32)
+    both, least = n[i, None] + n[None, j], need(n[i, None], n[None, j], percent)
+    return (differ <= both - 2 * least) & (least <= np.minimum(n[i, None], n[None, j])), differ
+
+
+def _block_pairs(labelled: DataFrame) -> DataFrame:
+    """Lists with `comp`, the set's component, dealt into pairs of blocks of about `BLOCK` rows: each block
+    of the main component with each of the others, and each two of the others. So each pair of sets
+    of which one is minor meets once, and no task holds more than two blocks."""
+    main = (
+        labelled.groupBy("token", "comp")
+        .agg(F.count("*").alias("c"))
+        .groupBy("token")
+        .agg(
+            F.max_by("comp", F.struct("c", "comp")).alias("main"),
+            F.ceil(F.max("c") / BLOCK).alias("mains"),
+            F.ceil((F.sum("c") - F.max("c")) / BLOCK).alias("minors"),
+        )
+        .where("minors > 0")
+    )
+    rows = labelled.join(main, "token").withColumn("minor", F.col("comp") != F.col("main"))
+    mains, minors = F.col("mains"), F.col("minors")
+    block = F.pmod(F.xxhash64("digest", "token"), F.when(F.col("minor"), minors).otherwise(mains))
+    to = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    place = lambda part, side: F.struct(part.alias("part"), side.cast("int").alias("side"))
+    with_minors = F.transform(to(minors), lambda j: place(F.col("block") * minors + j, F.lit(0)))
+    with_mains = F.transform(to(mains), lambda i: place(i * minors + F.col("block"), F.lit(1)))
+    among = F.transform(
+        to(minors),
+        lambda j: place(
+            (mains + F.least(j, F.col("block"))) * minors + F.greatest(j, F.col("block")),
+            F.when(j < F.col("block"), 1).otherwise(0),
+        ),
+    )
+    places = F.when(F.col("minor"), F.concat(with_mains, among)).otherwise(with_minors)
+    return rows.withColumn("block", block).withColumn("place", F.explode(places)).select(
+        "token", F.col("place.part").alias("part"), "digest", "n", "sign", "comp", F.col("place.side").alias("side")
+    )
 
 
 def _proposed(rows: DataFrame, percent: int, second: bool) -> DataFrame:
-    """a, b: pairs to verify, from lists of (token, part, digest, n, sign, comp, minor).
+    """a, b: pairs to verify, from lists of (token, part, digest, n, sign, comp, side).
 
     First round: all that pass in a short list, the nearest `PROPOSED` earlier ones of each set in a
-    longer one. Second round: all that pass between components, at least one of them minor."""
+    longer one. Second round: all that pass between components, and where a part has rows of side 1,
+    only of these with the others."""
 
-    def pairs(digest: np.ndarray, n: np.ndarray, sign: np.ndarray, comp: np.ndarray, minor: np.ndarray) -> set:
+    def pairs(digest: np.ndarray, n: np.ndarray, sign: np.ndarray, comp: np.ndarray, side: np.ndarray) -> set:
         order = np.unique(digest, return_index=True)[1]
         order = order[np.argsort(n[order], kind="stable")]
-        digest, n, sign, comp, minor = digest[order], n[order], sign[order], comp[order], minor[order]
-        size, out = len(n), set()
-        for start in range(0, size, 64):
-            i = np.arange(start, min(size, start + 64))
-            if second and not minor[i].any() and not minor.any():
-                continue
-            ok, differ = _passing(n, sign, i, percent)
-            ok &= np.arange(size)[None, :] < i[:, None]
+        digest, n, sign, comp, side = digest[order], n[order], sign[order], comp[order], side[order]
+        # one block against itself, or the rows of one side against those of the other
+        own = np.flatnonzero(side != 1)
+        other = np.flatnonzero(side == 1) if len(own) < len(side) else own
+        out = set()
+        for start in range(0, len(own), 64):
+            i = own[start : start + 64]
+            ok, differ = _passing(n, sign, i, other, percent)
+            if other is own:
+                ok &= other[None, :] < i[:, None]
             if second:
-                ok &= (comp[i, None] != comp[None, :]) & (minor[i, None] | minor[None, :])
-            elif size > SHORT_LIST:
+                ok &= comp[i, None] != comp[None, other]
+            elif len(own) > SHORT_LIST:
                 near = np.where(ok, differ, 1 << 30)
                 best = np.argpartition(near, PROPOSED - 1, axis=1)[:, :PROPOSED]
                 chosen = np.zeros_like(ok)
                 np.put_along_axis(chosen, best, True, axis=1)
                 ok &= chosen
             for x, y in zip(*np.nonzero(ok)):
-                a, b = digest[i[x]], digest[y]
+                a, b = digest[i[x]], digest[other[y]]
                 out.add((a, b) if a < b else (b, a))
         return out
 
@@ -327,7 +416,7 @@ def _proposed(rows: DataFrame, percent: int, second: bool) -> DataFrame:
             return set()
         sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), dtype=np.uint64).reshape(table.num_rows, -1)
         as_bytes = lambda c: np.array(table.column(c).to_pylist(), dtype=object)
-        return pairs(as_bytes("digest"), table.column("n").to_numpy().astype(np.int64), sign, as_bytes("comp"), table.column("minor").to_numpy().astype(bool))
+        return pairs(as_bytes("digest"), table.column("n").to_numpy().astype(np.int64), sign, as_bytes("comp"), table.column("side").to_numpy())
 
     def finish(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _pair_batch(one(pa.Table.from_batches(held)))
@@ -339,7 +428,7 @@ def _proposed(rows: DataFrame, percent: int, second: bool) -> DataFrame:
         yield from _pair_batch(found)
 
     dealt = (
-        rows.select("token", "part", "digest", "n", "sign", "comp", "minor")
+        rows.select("token", "part", "digest", "n", "sign", "comp", "side")
         .repartition(partitions(rows.sparkSession), "token", "part")
         .sortWithinPartitions("token", "part")
     )
@@ -429,12 +518,12 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 3,
 
 def _classes(docs: DataFrame, id: str, text: str, k: int, percent: int, scratch: Scratch) -> DataFrame:
     texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    described = scratch.saved(_described(texts, k, percent), "described")
+    found = scratch.saved(_described(texts, k, percent), "described")
+    described = found.where(F.col("doc").isNotNull()).drop("token", "c")
     below = _boundary(described, percent)
     links = scratch.saved(_light_links(described, percent, below), "light-links")
 
-    counted = described.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
-    maps = bitmaps.build(counted.where(F.col("c") >= FREQUENT), "token", {"frequent": F.lit(True)})
+    maps = _frequent(found)
     chosen = scratch.saved(_listed(texts, k, percent, maps["frequent"], least_size(below, percent)), "listed")
     bitmaps.drop(maps)
     lengths = chosen.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("length"))
@@ -446,7 +535,7 @@ def _classes(docs: DataFrame, id: str, text: str, k: int, percent: int, scratch:
     listed = entries.join(lengths.withColumn("parts", parts), "token")
     part = F.pmod(F.xxhash64("digest", "token"), F.col("parts")).cast("int")
     first = _proposed(
-        listed.select("token", part.alias("part"), "digest", "n", "sign", F.col("digest").alias("comp"), F.lit(True).alias("minor")),
+        listed.select("token", part.alias("part"), "digest", "n", "sign", F.col("digest").alias("comp"), F.lit(0).alias("side")),
         percent,
         second=False,
     )
@@ -458,22 +547,7 @@ def _classes(docs: DataFrame, id: str, text: str, k: int, percent: int, scratch:
     labelled = long_lists.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
         "comp", F.coalesce("label", "digest")
     )
-    main = (
-        labelled.groupBy("token", "comp")
-        .agg(F.count("*").alias("c"))
-        .groupBy("token")
-        .agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("comps"))
-        .where("comps > 1")
-    )
-    minor = F.col("comp") != F.col("main")
-    places = F.when(minor, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(part))
-    second = _proposed(
-        labelled.join(main, "token").select(
-            "token", F.explode(places).alias("part"), "digest", "n", "sign", "comp", minor.alias("minor")
-        ),
-        percent,
-        second=True,
-    ).join(first, ["a", "b"], "left_anti")
+    second = _proposed(_block_pairs(labelled), percent, second=True).join(first, ["a", "b"], "left_anti")
     second = scratch.saved(_narrowed(described, second, percent), "proposed")
     if not second.isEmpty():
         more = scratch.saved(_verified(texts, described, second, k, percent, scratch), "links")

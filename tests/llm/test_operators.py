@@ -270,6 +270,34 @@ def test_link_by_a_token_that_moves_into_one_prefix_only(spark):
     assert {r["component_id"] for r in got if r["doc_id"] >= 100} == {100}
 
 
+def test_tokens_of_a_shared_passage_are_not_listed(spark):
+    """Each prefix has other tokens of the passage first, so prefixes alone do not tell all of them."""
+    passage = " ".join(f"p{j}" for j in range(60))
+    rows = [(i, passage + " " + " ".join(f"w{i}x{j}" for j in range(60))) for i in range(300)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).select("doc_id", "text")
+    frequent = jaccard._frequent(jaccard._described(texts, 3, 80))["frequent"]
+    listed = jaccard._listed(texts, 3, 80, frequent, 1).select(F.explode("tokens").alias("token"))
+    assert listed.groupBy("token").count().agg(F.max("count")).first()[0] == 1
+
+
+@pytest.mark.parametrize("main", [0, 1, 30])
+def test_second_round_tests_each_pair_once_in_small_parts(spark, main, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    n = 100
+    rows = [(5, f"{i:03}".encode(), 50, b"", b"m" if i < main else f"{i:03}".encode()) for i in range(n)]
+    dealt = jaccard._block_pairs(spark.createDataFrame(rows, "token long, digest binary, n int, sign binary, comp binary"))
+    parts = {}
+    for r in dealt.collect():
+        parts.setdefault(r["part"], []).append((int(r["digest"]), r["side"]))
+    assert max(map(len, parts.values())) <= 40
+    met = Counter()
+    for members in parts.values():
+        own, other = ([d for d, side in members if side == s] for s in (0, 1))
+        pairs = [(x, y) for x in own for y in other] if other else [(x, y) for x in own for y in own if x < y]
+        met.update(tuple(sorted(p)) for p in pairs if max(p) >= main)
+    assert met == {(x, y): 1 for y in range(n) for x in range(y) if y >= max(main, 1)}
+
+
 def test_one_of_each_class_stays(docs, texts):
     kept = jaccard.one_per_class(docs, k=3, percent=80)
     assert kept.columns == docs.columns
