@@ -1,11 +1,11 @@
 """Main text of pages by site template removal.
 
 Each page becomes blocks of text and hashes of its element subtrees. Spark counts on how many pages
-of a host each subtree occurs; one that recurs on many of them is template and goes, with all the
+of a host (equal ones once) each subtree occurs; one that recurs on many of them is template and goes, with all the
 text in it. What is left is judged by its elements: menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments go by tag, role or class, and where a page marks its article, only
 that is taken. Subtrees inside a marked article are never template: a passage that many articles
-quote stays.
+quote stays. Nor is what holds a marked article.
 
 A host with a third of all pages is counted by partial sums and joined by (host, subtree), so no task
 gets a host. Pages themselves are never shuffled by host.
@@ -68,7 +68,7 @@ NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))
 PARTS = re.compile(r"[a-z]+")
 
 SCHEMA = (
-    "page_id long, url string, host string, row long, spots array<binary>, text string, "
+    "page_id long, url string, host string, row long, page binary, spots array<binary>, text string, "
     "blocks array<struct<text:string,within:array<int>>>"
 )
 
@@ -98,7 +98,7 @@ def _is_chrome(tag: str, attrs: str, in_main: bool) -> bool:
     return False
 
 
-def parse(source: str) -> tuple[list[bytes], list[tuple[str, bool, bool, list[int]]], bool]:
+def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, bool, bool, list[int]]], bool]:
     """Hashes of the subtrees outside marked articles, and the blocks: text, whether in a marked
     article, whether in an element that is no article text, and the subtrees it is in."""
     root = _Element("", False, False, [], None)
@@ -107,6 +107,7 @@ def parse(source: str) -> tuple[list[bytes], list[tuple[str, bool, bool, list[in
     blocks: list[tuple[str, bool, bool, list[int]]] = []
     text: list[str] = []
     has_main = False
+    held: set[int] = set()
 
     def flush() -> None:
         if text:
@@ -166,6 +167,8 @@ def parse(source: str) -> tuple[list[bytes], list[tuple[str, bool, bool, list[in
         main = up.main or (
             not chrome and (tag in ("article", "main") or re.search(r"role\s*=\s*[\"']?main\b", m["attrs"]) is not None)
         )
+        if main and not up.main:
+            held.update(up.within)
         has_main = has_main or main
         spot, within = None, up.within
         if tag not in INLINE and not main and tag not in ("html", "body"):
@@ -176,7 +179,9 @@ def parse(source: str) -> tuple[list[bytes], list[tuple[str, bool, bool, list[in
     flush()
     while len(stack) > 1:
         close()
-    return spots, blocks, has_main
+    # what holds a marked article is no template
+    blocks = [(words, main, chrome, [w for w in within if w not in held]) for words, main, chrome, within in blocks]
+    return [None if i in held else d for i, d in enumerate(spots)], blocks, has_main
 
 
 def _host(url: str | None) -> str:
@@ -186,7 +191,7 @@ def _host(url: str | None) -> str:
         return ""
 
 
-def candidates(source: str) -> tuple[list[bytes], list[tuple[str, list[int]]]]:
+def candidates(source: str) -> tuple[list[bytes | None], list[tuple[str, list[int]]]]:
     """Hashes of the subtrees, and the blocks that are article text unless a template holds them."""
     spots, blocks, has_main = parse(source)
     return spots, [(text, within) for text, main, chrome, within in blocks if not chrome and (main or not has_main)]
@@ -200,33 +205,38 @@ def _parsed(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 ids, urls, sources, rows = batch.slice(at, 1000).columns
-                spots, texts, blocks = [], [], []
+                spots, texts, blocks, contents = [], [], [], []
                 for source in sources:
                     found, kept = candidates(source.as_py() or "")
                     is_open = any(within for _, within in kept)
                     spots.append(found)
+                    content = "\0".join([text for text, _ in kept]).encode("utf-8", "replace")
+                    contents.append(hashlib.blake2b(content, digest_size=12).digest())
                     texts.append(None if is_open else "\n".join([text for text, _ in kept]))
                     blocks.append([{"text": t, "within": w} for t, w in kept] if is_open else None)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids, urls, pa.array([_host(u) for u in urls.to_pylist()], pa.string()), rows,
-                        pa.array(spots, pa.list_(pa.binary())), pa.array(texts, pa.string()), pa.array(blocks, pa.list_(block)),
+                        pa.array(contents, pa.binary()), pa.array(spots, pa.list_(pa.binary())), pa.array(texts, pa.string()), pa.array(blocks, pa.list_(block)),
                     ],
-                    names=["page_id", "url", "host", "row", "spots", "text", "blocks"],
+                    names=["page_id", "url", "host", "row", "page", "spots", "text", "blocks"],
                 )
 
     return pages.mapInArrow(run, SCHEMA)
 
 
 def templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """host, spot: the subtrees that recur on many pages of the host."""
+    """host, spot: the subtrees that recur on many pages of the host. Pages of equal content count once."""
+    once = parsed.groupBy("host", "page").agg(F.min("row").alias("row"))
     seen = (
-        parsed.select("host", F.explode(F.array_distinct("spots")).alias("spot"))
+        parsed.join(once.select("row"), "row", "left_semi")
+        .select("host", F.explode(F.array_distinct("spots")).alias("spot"))
+        .where(F.col("spot").isNotNull())
         .groupBy("host", "spot")
         .agg(F.count("*").alias("pages"))
         .where(F.col("pages") >= min_pages)
     )
-    hosts = parsed.groupBy("host").agg(F.count("*").alias("of"))
+    hosts = once.groupBy("host").agg(F.count("*").alias("of"))
     return seen.join(hosts, "host").where(F.col("pages") >= min_share * F.col("of")).select("host", "spot")
 
 

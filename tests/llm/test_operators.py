@@ -438,5 +438,16 @@ def test_templates_of_a_host(spark):
     assert len(out) == len(rows) and all(r[3] == len(r[2]) for r in out)
 
 
+def test_copies_of_a_wrapped_page_are_no_template(spark):
+    wrapped = "<body><div class=wrap><article><p>The story</p></article></div></body>"
+    plain_page = "<body><div><p>No mark</p></div></body>"
+    rows = [(i, f"http://a.org/{i}", wrapped) for i in range(8)] + [(i, f"http://b.org/{i}", plain_page) for i in range(8, 16)]
+    rows += [(i, f"http://a.org/{i}", f"<body><div class=wrap><article><p>Own {i}</p></article></div></body>") for i in range(16, 20)]
+    out = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in out} == {
+        i: "The story" if i < 8 else "No mark" if i < 16 else f"Own {i}" for i in range(20)
+    }
+
+
 def test_main_text_of_nothing(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
