@@ -32,13 +32,14 @@ MIN_PAGES = 4
 MIN_SHARE = 0.2
 
 #: Element names by their part in a page.
-RAW = "script style noscript template svg iframe object canvas math textarea head title".split()
+RAW = "script style noscript template svg iframe object canvas math textarea title".split()
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
     "samp small span strike strong sub sup time tt u var img wbr br".split()
 )
-CHROME_TAGS = set("nav footer aside form button select option dialog menu fieldset".split())
+IN_HEAD = set(RAW) | set("meta link base head".split())
+CHROME_TAGS = set("head nav footer aside form button select option dialog menu fieldset".split())
 CHROME_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu".split())
 CHROME_WORDS = set(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner "
@@ -58,7 +59,7 @@ SCOPE = set("ul ol dl table body html article section div main nav aside footer
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>"
     r"|(?P<text>[^<]+|<)",
@@ -139,12 +140,17 @@ def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, bool, bool,
 
     for m in TOKEN.finditer(source):
         if m["text"] is not None:
+            if stack[-1].tag == "head" and m["text"].strip():
+                close()
             text.append(m["text"])
             continue
         tag = m["tag"]
         if tag is None:
             continue
         tag = tag.lower()
+        # a head without an end tag ends where anything else begins
+        if stack[-1].tag == "head" and not m["end"] and tag not in IN_HEAD:
+            close()
         if tag == "br":
             text.append(" ")
             continue

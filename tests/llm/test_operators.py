@@ -449,5 +449,17 @@ def test_copies_of_a_wrapped_page_are_no_template(spark):
     }
 
 
+def test_head_without_end_and_closed_raw_tags():
+    def kept(source):
+        return [words for words, _ in html_text.candidates(source)[1]]
+
+    assert kept("<html><head><meta charset=x><title>T</title><body><p>One</body>") == ["One"]
+    assert kept("<head><title>T</title><script>var a;</script><p>One<p>Two") == ["One", "Two"]
+    assert kept("<head><title>T</title> </head><p>One") == ["One"]
+    for raw in ("<svg viewBox='0 0'/>", "<iframe/>", "<canvas id=x />"):
+        assert kept(f"<body><p>One</p>{raw}<p>Two</p></body>") == ["One", "Two"]
+    assert kept("<body><svg><text>no</text></svg><p>One") == ["One"]
+
+
 def test_main_text_of_nothing(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
