@@ -48,6 +48,7 @@ CHROME_WORDS = set(
     "comment comments reply replies disqus share sharing social related recommended login search form "
     "toolbar pagination pager copyright".split()
 )
+COMMENT_WORDS = set("comment comments reply replies disqus".split())
 #: An article's own head; names that tell a wrapper's layout and not its part.
 TITLE_WORDS = {"header", "masthead", "banner"}
 STATES = ("has-", "with-", "no-", "is-", "layout-", "page-with")
@@ -77,37 +78,43 @@ SCHEMA = (
 class _Element:
     __slots__ = ("tag", "main", "chrome", "within", "spot", "parts")
 
-    def __init__(self, tag: str, main: bool, chrome: bool, within: list[int], spot: int | None):
+    def __init__(self, tag: str, main: int, chrome: int, within: list[int], spot: int | None):
         self.tag, self.main, self.chrome = tag, main, chrome
         self.within, self.spot, self.parts = within, spot, []
 
 
-def _is_chrome(tag: str, attrs: str, in_main: bool) -> bool:
-    if tag in CHROME_TAGS or (tag == "header" and not in_main):
-        return True
+def _chrome(tag: str, attrs: str, in_main: bool) -> int:
+    """Whether the element is no article text: 0 no, 1 by its class or as a form, which may also wrap
+    the whole page, 2 by its tag or role or as reader comments."""
+    if tag in CHROME_TAGS - {"form"} or (tag == "header" and not in_main):
+        return 2
+    found = int(tag == "form")
     for name, a, b, c in NAMES.findall(attrs):
         value = (a or b or c).lower()
         if name.lower() == "role":
             if value in CHROME_ROLES:
-                return True
+                return 2
         elif tag not in ("body", "html", "article", "main"):
             for word in value.split():
-                if not word.startswith(STATES) and CHROME_WORDS.intersection(PARTS.findall(word)) - (
-                    TITLE_WORDS if in_main else set()
-                ):
-                    return True
-    return False
+                parts = PARTS.findall(word)
+                if word.startswith(STATES) or not parts:
+                    continue
+                if COMMENT_WORDS.intersection((parts[0], parts[-1])):
+                    return 2
+                if CHROME_WORDS.intersection((parts[-1], "".join(parts))) - (TITLE_WORDS if in_main else set()):
+                    found = 1
+    return found
 
 
-def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, bool, bool, list[int]]], bool]:
+def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, list[int]]], int]:
     """Hashes of the subtrees outside marked articles, and the blocks: text, whether in a marked
     article, whether in an element that is no article text, and the subtrees it is in."""
-    root = _Element("", False, False, [], None)
+    root = _Element("", 0, 0, [], None)
     stack = [root]
     spots: list[bytes] = []
-    blocks: list[tuple[str, bool, bool, list[int]]] = []
+    blocks: list[tuple[str, int, int, list[int]]] = []
     text: list[str] = []
-    has_main = False
+    has_main = 0
     held: set[int] = set()
 
     def flush() -> None:
@@ -169,13 +176,15 @@ def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, bool, bool,
         if m["attrs"].endswith("/"):
             continue
         up = stack[-1]
-        chrome = up.chrome or _is_chrome(tag, m["attrs"], up.main)
-        main = up.main or (
-            not chrome and (tag in ("article", "main") or re.search(r"role\s*=\s*[\"']?main\b", m["attrs"]) is not None)
-        )
+        chrome = max(up.chrome, _chrome(tag, m["attrs"], up.main > 0))
+        main = up.main
+        if not main and chrome < 2:
+            if tag in ("article", "main") or re.search(r"role\s*=\s*[\"']?main\b", m["attrs"]):
+                # 1 inside such a wrapper: taken where the page marks no other
+                main, chrome = 2 - chrome, 0
         if main and not up.main:
             held.update(up.within)
-        has_main = has_main or main
+        has_main = max(has_main, main)
         spot, within = None, up.within
         if tag not in INLINE and not main and tag not in ("html", "body"):
             spot = len(spots)
@@ -200,7 +209,7 @@ def _host(url: str | None) -> str:
 def candidates(source: str) -> tuple[list[bytes | None], list[tuple[str, list[int]]]]:
     """Hashes of the subtrees, and the blocks that are article text unless a template holds them."""
     spots, blocks, has_main = parse(source)
-    return spots, [(text, within) for text, main, chrome, within in blocks if not chrome and (main or not has_main)]
+    return spots, [(text, within) for text, main, chrome, within in blocks if not chrome and main == has_main]
 
 
 def _parsed(pages: DataFrame) -> DataFrame:

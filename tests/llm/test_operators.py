@@ -461,5 +461,18 @@ def test_head_without_end_and_closed_raw_tags():
     assert kept("<body><svg><text>no</text></svg><p>One") == ["One"]
 
 
+def test_article_in_a_form_or_in_a_layout_class():
+    def kept(source):
+        return [words for words, _ in html_text.candidates(source)[1]]
+
+    article = "<article><p>Story</p><aside>no</aside></article>"
+    for wrapper in ("form id=aspnetForm", "div class='content-with-sidebar'", "div class='layout sidebar-right'", "div id=sidebar"):
+        end = wrapper.split()[0]
+        assert kept(f"<body><{wrapper}><nav>Menu</nav>{article}</{end}></body>") == ["Story"]
+    assert kept("<body><div class='layout sidebar-right'><p>Unmarked</p></div></body>") == ["Unmarked"]
+    assert kept(f"<body>{article}<div class=related><article>Other</article></div></body>") == ["Story"]
+    assert kept("<body><p>Story</p><div id=comment-list><article>Reader</article></div></body>") == ["Story"]
+
+
 def test_main_text_of_nothing(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
