@@ -1,11 +1,11 @@
 """Main text of pages by site template removal.
 
 Each page becomes blocks of text and hashes of its element subtrees. Spark counts on how many pages
-of a host (equal ones once) each subtree occurs; one that recurs on many of them is template and goes, with all the
-text in it. What is left is judged by its elements: menus, headers, footers, sidebars, notices,
+of a host (equal ones once) each subtree occurs; one that recurs on many of them is template and goes,
+with all the text in it. What is left is judged by its elements: menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments go by tag, role or class, and where a page marks its article, only
-that is taken. Subtrees inside a marked article are never template: a passage that many articles
-quote stays. Nor is what holds a marked article.
+that is taken. Inside an article only boxes of short texts that are on nearly all pages of the host
+are template: a passage that many articles quote stays. What holds a marked article is never template.
 
 A host with a third of all pages is counted by partial sums and joined by (host, subtree), so no task
 gets a host. Pages themselves are never shuffled by host.
@@ -30,6 +30,10 @@ from cardflow.llm.tables import saved
 
 MIN_PAGES = 4
 MIN_SHARE = 0.2
+#: Inside a marked article, only boxes without a longer text than this, on so many of the pages.
+BOX_WORDS = 30
+BOX_SHARE = 0.9
+BOX_TAGS = set("div section ul ol dl table".split())
 
 #: Element names by their part in a page.
 RAW = "script style noscript template svg iframe object canvas math textarea title".split()
@@ -58,6 +62,9 @@ CLOSED_BY = {
 }
 SCOPE = set("ul ol dl table body html article section div main nav aside footer header form".split())
 
+#: Makes the hash of a box inside an article one byte longer.
+BOX = b"b"
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -76,11 +83,12 @@ SCHEMA = (
 
 
 class _Element:
-    __slots__ = ("tag", "main", "chrome", "within", "spot", "parts")
+    __slots__ = ("tag", "main", "chrome", "within", "spot", "parts", "article")
 
     def __init__(self, tag: str, main: int, chrome: int, within: list[int], spot: int | None):
         self.tag, self.main, self.chrome = tag, main, chrome
         self.within, self.spot, self.parts = within, spot, []
+        self.article = False
 
 
 def _chrome(tag: str, attrs: str, in_main: bool) -> int:
@@ -107,7 +115,7 @@ def _chrome(tag: str, attrs: str, in_main: bool) -> int:
 
 
 def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, list[int]]], int]:
-    """Hashes of the subtrees outside marked articles, and the blocks: text, whether in a marked
+    """Hashes of the subtrees that may be template, and the blocks: text, whether in a marked
     article, whether in an element that is no article text, and the subtrees it is in."""
     root = _Element("", 0, 0, [], None)
     stack = [root]
@@ -116,6 +124,7 @@ def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, li
     text: list[str] = []
     has_main = 0
     held: set[int] = set()
+    boxes: set[int] = set()
 
     def flush() -> None:
         if text:
@@ -124,6 +133,8 @@ def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, li
             if words:
                 top = next(e for e in reversed(stack) if e.tag not in INLINE)
                 top.parts.append(words)
+                if boxes and words.count(" ") >= BOX_WORDS:
+                    held.update(boxes.intersection(stack[-1].within))
                 blocks.append((words, stack[-1].main, stack[-1].chrome, stack[-1].within))
 
     def close() -> None:
@@ -134,7 +145,7 @@ def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, li
         parent = next(x for x in reversed(stack) if x.tag not in INLINE)
         parent.parts.append(digest.hex())
         if e.spot is not None:
-            spots[e.spot] = digest
+            spots[e.spot] = digest + BOX if e.spot in boxes else digest
 
     def close_through(names: set[str], stop: set[str]) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -182,15 +193,20 @@ def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, li
             if tag in ("article", "main") or re.search(r"role\s*=\s*[\"']?main\b", m["attrs"]):
                 # 1 inside such a wrapper: taken where the page marks no other
                 main, chrome = 2 - chrome, 0
-        if main and not up.main:
+        article = up.article or (main > 0 and tag == "article")
+        if (main and not up.main) or (article and not up.article):
             held.update(up.within)
         has_main = max(has_main, main)
         spot, within = None, up.within
-        if tag not in INLINE and not main and tag not in ("html", "body"):
+        is_mark = (main and not up.main) or (article and not up.article)
+        if tag not in INLINE and not is_mark and tag not in ("html", "body") and (not article or tag in BOX_TAGS):
+            if article:
+                boxes.add(len(spots))
             spot = len(spots)
             spots.append(b"")
             within = [*within, spot]
         stack.append(_Element(tag, main, chrome, within, spot))
+        stack[-1].article = article
     flush()
     while len(stack) > 1:
         close()
@@ -252,7 +268,8 @@ def templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float =
         .where(F.col("pages") >= min_pages)
     )
     hosts = once.groupBy("host").agg(F.count("*").alias("of"))
-    return seen.join(hosts, "host").where(F.col("pages") >= min_share * F.col("of")).select("host", "spot")
+    share = F.when(F.length("spot") > 12, max(BOX_SHARE, min_share)).otherwise(min_share)
+    return seen.join(hosts, "host").where(F.col("pages") >= share * F.col("of")).select("host", "spot")
 
 
 def extract(

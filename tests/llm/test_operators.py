@@ -474,5 +474,22 @@ def test_article_in_a_form_or_in_a_layout_class():
     assert kept("<body><p>Story</p><div id=comment-list><article>Reader</article></div></body>") == ["Story"]
 
 
+def test_boxes_inside_main_and_article(spark):
+    box, quote = "<div class=x><p>Join our letter</p></div>", "<p>A passage that many quote</p>"
+    some = "<div><p>On half of the pages</p></div>"
+    long = "<div><p>" + "word " * 40 + "</p></div>"
+    rows = []
+    for i in range(8):
+        half = some if i % 2 else ""
+        rows.append((i, f"http://a.org/{i}", f"<body><main><p>Own {i}</p>{box}</main></body>"))
+        rows.append((10 + i, f"http://b.org/{i}", f"<body><main><article><p>Own {i}</p>{quote}{box}{half}{long}</article></main></body>"))
+    out = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    got = {r["page_id"]: r["text"].split("\n") for r in out}
+    for i in range(8):
+        half = ["On half of the pages"] if i % 2 else []
+        assert got[i] == [f"Own {i}"]
+        assert got[10 + i] == [f"Own {i}", "A passage that many quote", *half, " ".join(["word"] * 40)]
+
+
 def test_main_text_of_nothing(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
