@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardflow.llm import bpe, html_text, jaccard, packing, pii, pivots, quality_model, quality_rules, substrings, warc
-from cardflow.llm.tables import read
+from cardflow.llm import (
+    bpe,
+    html_text,
+    jaccard,
+    packing,
+    phrases,
+    pii,
+    pivots,
+    quality_model,
+    quality_rules,
+    runs,
+    substrings,
+    toxicity,
+    warc,
+)
+from cardflow.llm.tables import Scratch, read, saved
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +98,45 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
 
 
+def folded(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Every tenth document, by its id's checksum, repeats a period from some word on."""
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is None or h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    at = np.arange(n)
+    at[a:] = a + (at[a:] - a) % p
+    return at
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.periodic_runs(docs, rewrite=folded)
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    top = F.col("longest")
+    return found.select(
+        "doc_id",
+        "n_runs",
+        *[top[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("lang", "text")
+    with Scratch(spark) as scratch:
+        return saved(phrases.collocations(docs, scratch), "collocations")
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.classify(docs, read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substrings": op2_substrings,
@@ -92,4 +148,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_pivots": op9_pivots,
     "op10_html_text": op10_html_text,
+    "op11_runs": op11_runs,
+    "op12_phrases": op12_phrases,
+    "op13_toxicity": op13_toxicity,
 }

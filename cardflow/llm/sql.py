@@ -97,4 +97,44 @@ SQL: dict[str, str] = {
                AND (n_words < 80 OR stop_words_seen >= 1) AS kept
         FROM b
     """,
+    "op12_phrases": r"""
+        WITH texts AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ), pieces AS (
+            SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts
+        ), words AS (
+            SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces
+        ), totals AS (
+            SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+        ), starts AS (
+            SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4]) AS m) AS sizes
+        ), f AS (
+            SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+            FROM starts GROUP BY ALL HAVING count(*) >= 30
+        ), cuts AS (
+            SELECT lang, m, phrase, f, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM f WHERE m >= 2
+        ), scored AS (
+            SELECT c.lang, c.m, c.phrase, c.f AS a, c.k, l.f AS l, r.f AS r,
+                   CAST((CAST(2000000 AS HUGEINT) * c.f) // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+            FROM cuts c
+            JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:c.k], ' ')
+            JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1
+        ), inner_sizes AS (
+            SELECT lang, f, m, string_split(phrase, ' ') AS w, unnest(range(2, m)) AS s FROM f WHERE m >= 3
+        ), inner_phrases AS (
+            SELECT lang, f, w, s, unnest(range(1, m - s + 2)) AS i FROM inner_sizes
+        ), holders AS (
+            SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(f) AS holder FROM inner_phrases GROUP BY ALL
+        ), kept AS (
+            SELECT scored.* FROM scored LEFT JOIN holders USING (lang, phrase)
+            WHERE holder IS NULL OR CAST(100 AS HUGEINT) * holder < CAST(80 AS HUGEINT) * a
+        )
+        SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM kept JOIN totals ON totals.lang = kept.lang
+        QUALIFY rank <= 2000
+    """,
 }

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 
@@ -44,3 +45,11 @@ def docs(spark, texts):
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], "doc_id long, text string, lang string, row long, n string, key int")
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    path = Path("/root/testdata/sf0.001")
+    if not path.exists():
+        pytest.skip("no given tables")
+    return str(path)
