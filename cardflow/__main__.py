@@ -40,6 +40,13 @@ def _parser() -> argparse.ArgumentParser:
     seed.add_argument("--states", required=True)
     seed.add_argument("--buckets", type=int, default=64)
 
+    reset = commands.add_parser("reset", help="delete what a stream wrote and seed it again")
+    reset.add_argument("snapshot")
+    reset.add_argument("--states", required=True)
+    reset.add_argument("--buckets", type=int, default=64)
+    reset.add_argument("--checkpoint", required=True)
+    reset.add_argument("--output", action="append", default=[], help="features, rejects or audit")
+
     publish = commands.add_parser("publish", help="messages of raw CSV files")
     publish.add_argument("csv", nargs="+")
     publish.add_argument("--out")
@@ -83,6 +90,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "seed":
         snapshot = read_state_snapshot(spark, args.snapshot)
         jobs.seed_stream(spark, snapshot, StateLog(args.states, args.buckets))
+    elif args.job == "reset":
+        snapshot = read_state_snapshot(spark, args.snapshot)
+        log = StateLog(args.states, args.buckets)
+        jobs.reset_stream(spark, snapshot, log, args.checkpoint, args.output)
     elif args.job == "publish":
         options = _options(args.option)
         jobs.publish(spark, args.csv, args.out, args.format, args.limit, options)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardflow.functions.literals import longs, numbered
-from cardflow.operators.ranks import quantiles, running_totals
+from cardflow.operators.ranks import running_totals, values_at
 from cardflow.schema import REVIEW_COST
 
 CANDIDATES = 99
@@ -122,8 +122,7 @@ def amount_rule_costs(
     review: float = REVIEW_COST,
 ) -> DataFrame:
     """Costs of the rule amount >= t for the 99 percentiles of the amount."""
-    levels = PROBABILITY_THRESHOLDS
-    candidates = [r["value"] for r in quantiles(df, amount, levels).orderBy("i").collect()]
+    candidates = values_at(df, amount, levels=PROBABILITY_THRESHOLDS)
     return threshold_costs(df, amount, is_fraud, amount, candidates, review)
 
 

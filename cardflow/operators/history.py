@@ -55,6 +55,9 @@ def history_features(
             *tx.columns, *_outputs(windows)
         ),
         lambda t: _finish(_hot(t, windows), windows).select(*tx.columns, *_outputs(windows)),
+        # The range frames of the ordinary way visit every row in the window of every row.
+        time="epoch_s",
+        window=max(windows.values(), default=0),
     ).unionByName(outside.withColumns({**counts, **nothing}).select(*tx.columns, *_outputs(windows)))
 
 

@@ -17,7 +17,7 @@ from cardflow.functions.arrays import (
 )
 from cardflow.functions.geo import haversine_km
 from cardflow.operators.history import totals_before
-from cardflow.operators.skew import DEFAULT, SkewPolicy, hot_keys, split
+from cardflow.operators.skew import DEFAULT, SkewPolicy, attach, hot_keys, split
 from cardflow.schema import STATE_COLUMNS, WINDOWS
 
 # A request scans the card's `recent` array, so a card is hot with fewer requests than rows.
@@ -72,7 +72,7 @@ def request_features(
     few = old.join(F.broadcast(keys), "card_id", "left_semi")
     parts = [
         _from_arrays(cold.join(old, "card_id", "left"), windows),
-        _from_totals(hot, few, windows),
+        attach(_from_totals(hot, few, windows), old.drop("_recent"), "card_id", keys, limits),
     ]
     return _finish(parts[0], requests, windows).unionByName(_finish(parts[1], requests, windows))
 
@@ -115,10 +115,7 @@ def _from_totals(
     totals = totals_before(data, asked, windows).select(
         "card_id", "epoch_s", "_n", F.col("prior_amount").alias("_before"), *windows
     )
-    # One state row per hot card, and `recent` is no longer needed.
-    return requests.join(totals, ["card_id", "epoch_s"], "left").join(
-        F.broadcast(old.drop("_recent")), "card_id", "left"
-    )
+    return requests.join(totals, ["card_id", "epoch_s"], "left")
 
 
 def _finish(

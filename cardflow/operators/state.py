@@ -19,6 +19,7 @@ from cardflow.functions.arrays import (
 )
 from cardflow.functions.compare import is_later
 from cardflow.operators.skew import DEFAULT, SkewPolicy, by_skew, lookup
+from cardflow.plans.workspace import written
 from cardflow.schema import RECENT_TYPE, RETENTION, STATE_COLUMNS
 
 
@@ -26,13 +27,34 @@ def _end():
     return F.max(F.struct("epoch_s", "tx_id", "merch_lat", "merch_lon"))
 
 
+#: About what a card and its last second take in a broadcast table.
+NEWEST_BYTES = 48
+
+
 def card_state(
     tx: DataFrame, retention: int = RETENTION, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
     """State of every card after all of `tx`. Rows without a card belong to no state; one without
-    a time counts in the totals and is never recent."""
+    a time counts in the totals and is never recent.
+
+    Sums, categories and last seconds of the cards are combined before their shuffles. The last
+    seconds, if they are few enough bytes to be broadcast, then tell every task which of its rows
+    are recent, and only those are shuffled. With more cards, or where the caller knows that `tx`
+    is small, whole rows are shuffled by card.
+    """
+    tx = tx.where(F.col("card_id").isNotNull())
+    if not policy.detect:
+        return _ordinary_state(tx, retention)
+    cards = tx.groupBy("card_id").agg(
+        F.max("epoch_s").alias("_newest"),
+        F.count("*").alias("n_total"),
+        F.sum("amount").alias("amount_total"),
+    )
+    cards = written(cards, "cards")
+    if cards.count() * NEWEST_BYTES <= policy.broadcast_bytes:
+        return _pruned_state(tx, cards, retention)
     return by_skew(
-        [tx.where(F.col("card_id").isNotNull())],
+        [tx],
         "card_id",
         policy,
         lambda t: _ordinary_state(t, retention),
@@ -40,6 +62,42 @@ def card_state(
     )
 
 
+def _pruned_state(tx: DataFrame, cards: DataFrame, retention: int) -> DataFrame:
+    """`cards` holds the last second and the sums of every card. Rows of a card without any time
+    all stand for its end."""
+    categories = (
+        tx.where(F.col("category").isNotNull())
+        .groupBy("card_id", "category")
+        .agg(F.lit(1).alias("_one"))
+        .groupBy("card_id")
+        .agg(F.array_sort(F.collect_list("category")).alias("categories_seen"))
+    )
+    newest = F.broadcast(cards.select("card_id", "_newest"))
+    near = F.col("_newest").isNull() | (F.col("epoch_s") >= F.col("_newest") - retention)
+    seconds = (
+        tx.select("card_id", "epoch_s", "tx_id", "amount", "merch_lat", "merch_lon")
+        .join(newest, "card_id")
+        .where(near)
+        .groupBy("card_id", "epoch_s")
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("amount").alias("amount"),
+            F.max(F.struct("tx_id", "merch_lat", "merch_lon")).alias("_e"),
+        )
+    )
+    recent = F.when(F.col("epoch_s").isNotNull(), F.struct("epoch_s", "n", "amount"))
+    ends = seconds.groupBy("card_id").agg(
+        F.array_sort(F.collect_list(recent)).alias("recent"),
+        F.max(F.struct("epoch_s", "_e.tx_id", "_e.merch_lat", "_e.merch_lon")).alias("_end"),
+    )
+    none = F.array().cast("array<string>")
+    return _shape(
+        cards.join(ends, "card_id")
+        .join(categories, "card_id", "left")
+        .withColumn("categories_seen", F.coalesce("categories_seen", none))
+    )
+
+
 def _ordinary_state(tx: DataFrame, retention: int) -> DataFrame:
     """One exchange: the card's last second, the sums per second and the sums per card all need
     the same clustering by card."""
@@ -112,8 +170,18 @@ def recent_transactions(
     tx: DataFrame, retention: int = RETENTION, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
     """Transactions within `retention` seconds of their card's last one, as rows. Rows without a
-    card or a time are never recent."""
+    card or a time are never recent. The cards' last seconds are combined before their shuffle; if
+    they can be broadcast, no row is shuffled at all."""
     tx = tx.where(F.col("card_id").isNotNull() & F.col("epoch_s").isNotNull())
+    if policy.detect:
+        last = tx.groupBy("card_id").agg(F.max("epoch_s").alias("_newest"))
+        last = written(last, "last-seconds")
+        if last.count() * NEWEST_BYTES <= policy.broadcast_bytes:
+            return (
+                tx.join(F.broadcast(last), "card_id")
+                .where(F.col("epoch_s") >= F.col("_newest") - retention)
+                .select(*tx.columns)
+            )
 
     def ordinary(rows: DataFrame) -> DataFrame:
         newest = F.max("epoch_s").over(Window.partitionBy("card_id"))

@@ -16,6 +16,7 @@ from cardflow.operators.skew import DEFAULT, SkewPolicy
 from cardflow.operators.split import Splits, time_split
 from cardflow.operators.state import card_state
 from cardflow.plans.training import TREES, metrics_table, score_requests, train_candidates
+from cardflow.plans.workspace import cut_lineage, remove
 from cardflow.schema import HISTORY_FEATURES, VALIDATION_START
 from cardflow.sources.csv import read_raw, read_transactions, with_epoch
 from cardflow.sources.messages import export_messages
@@ -50,6 +51,17 @@ def seed_stream(spark: SparkSession, snapshot: DataFrame, log: StateLog) -> None
     log.seed(spark, snapshot)
 
 
+def reset_stream(
+    spark: SparkSession, snapshot: DataFrame, log: StateLog, checkpoint: str, outputs: list[str]
+) -> None:
+    """Everything back to the start: no offsets, no states but those of the snapshot, no outputs.
+    The states must go first: cards that only the stream knew would keep theirs."""
+    states = cut_lineage(snapshot)
+    for path in (log.path, checkpoint, *outputs):
+        remove(spark, path)
+    log.seed(spark, states)
+
+
 def publish(
     spark: SparkSession,
     csv_paths: list[str],

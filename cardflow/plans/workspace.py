@@ -35,3 +35,41 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """`df` written to the checkpoint folder and read back, without its history."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table in the shared folder: computed once, and there when an executor is lost."""
+    path = new_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file(spark: SparkSession, path: str):
+    """The file system of a path, and the path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file(spark, path)
+    return files.exists(where)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if there is no such folder."""
+    files, where = _file(spark, path)
+    if not files.exists(where):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(where))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    files, where = _file(spark, path)
+    files.create(where, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder, if it is there."""
+    files, where = _file(spark, path)
+    files.delete(where, True)

@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from cardflow.operators import cost
-from cardflow.operators.ranks import number_values, quantiles, running_totals
+from cardflow.operators import cost, ranks
+from cardflow.operators.ranks import number_values, quantiles, running_totals, values_at
 
 SCHEMA = "is_fraud boolean, score double, amount double"
 
@@ -107,10 +108,48 @@ def test_quantiles_and_running_totals(spark, per_range):
             assert r["cum_count"] == want
 
 
-def test_numbered_values(spark):
+@pytest.mark.parametrize("limit, cuts", [(1, 16), (5, 64), (40, 4096)])
+def test_ranks_by_counting_passes(spark, monkeypatch, limit, cuts):
+    """Frequent values, tiny, huge and infinite ones; no pass may need a range longer than the limit."""
+    monkeypatch.setattr(ranks, "CUTS", cuts)
+    rng = random.Random(limit)
+    values = [rng.choice([7.0, -0.0, 0.0, rng.gauss(0, 1), rng.gauss(0, 1) * 1e300, 5e-324]) for _ in range(400)]
+    values += [float("inf")] * 9 + [float("-inf")] * 3 + [1e308] * 50
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double").checkpoint()
+    ordered = [*sorted(values)]
+    asked = [0, 2, 3, 100, 101, 257, 399, 450, len(values) - 1]
+    assert values_at(df, "v", asked, rows_per_range=limit) == [ordered[r] for r in asked]
+    assert np.isnan(values_at(df, "v", [len(values)], rows_per_range=limit)[0])
+    assert values_at(df.where("v is null"), "v", [0]) == []
+    got = quantiles(df.where("abs(v) < 100"), "v", [0.5], rows_per_range=limit).first()["value"]
+    assert got == np.quantile([v for v in values if abs(v) < 100], 0.5)
+
+
+def test_no_group_is_over_the_limit(spark):
+    """Ranges, and the windows over their totals, with blocks of blocks of two ranges."""
+    df = spark.range(300).select((F.col("id") * 7 % 300).cast("double").alias("v"), F.lit(1).alias("n"))
+    cut, n = ranks.ranged(df, "v", 3)
+    assert n >= 100 and cut.groupBy("_range").count().agg(F.max("count")).first()[0] <= 3
+    for down in (False, True):
+        got = {r["v"]: r["cum_n"] for r in running_totals(df, "v", ["n"], down, 3).collect()}
+        assert got == {float(i): (300 - i if down else i + 1) for i in range(300)}
+
+
+def test_numbers_of_many_texts_of_one_beginning(spark):
+    n = 200_000
+    words = spark.range(n).select(F.format_string("twenty bytes of text%06d", (F.col("id") * 7919) % n).alias("w"))
+    out = number_values(words, "w", rows_per_range=9_000)
+    wrong = out.where(F.substring("w", 21, 6).cast("int") + 1 != F.col("index"))
+    assert out.count() == n and wrong.isEmpty()
+    cut, _ = ranks.ranged(words, "w", 9_000)
+    assert cut.groupBy("_range").count().agg(F.max("count")).first()[0] <= 9_000
+
+
+@pytest.mark.parametrize("limit", [1, 3, 1000])
+def test_numbered_values(spark, limit):
     words = ["b", "a", "ab", "é", "", "abc", "B", "ab"]
     df = spark.createDataFrame([(w,) for w in [*words, None]], "w string")
-    got = {r["w"]: r["index"] for r in number_values(df, "w").collect()}
+    got = {r["w"]: r["index"] for r in number_values(df, "w", rows_per_range=limit).collect()}
     ordered = sorted(set(words), key=lambda w: w.encode())
     assert got == {w: i for i, w in enumerate(ordered, 1)}
 

@@ -20,7 +20,7 @@ from cardflow.streaming.job import stream_features
 from tests import brute
 from tests.conftest import close, make
 
-POLICIES = [SkewPolicy(), SkewPolicy(hot_rows=0)]
+POLICIES = [SkewPolicy(), SkewPolicy(hot_rows=0), SkewPolicy(hot_rows=0, broadcast_bytes=0)]
 
 
 def as_brute(df):

@@ -12,8 +12,9 @@ from cardflow.operators.history import history_features
 from cardflow.operators.latest import latest_per_key
 from cardflow.operators.skew import SkewPolicy
 from cardflow.operators.state import card_state
-from cardflow.plans.jobs import seed_stream
-from cardflow.schema import RETENTION
+from cardflow.plans.jobs import reset_stream, seed_stream
+from cardflow.plans.workspace import cut_lineage
+from cardflow.schema import RETENTION, STATE_SCHEMA
 from cardflow.sources.messages import export_messages, read_message_stream
 from cardflow.streaming.fold import stateful_fold, to_state
 from cardflow.streaming.job import StateJob, read_batches, start
@@ -147,6 +148,51 @@ def test_batch_repeated_after_a_failure(spark, rows, waves, tmp_path):
     assert read_batches(spark, str(tmp_path / "features")).count() == len(rows)
 
 
+def test_reads_do_not_grow_with_the_number_of_batches(spark, tmp_path):
+    """Each batch changes two of 30 cards; batch 60 reads no more than batch 10, and any batch may be
+    repeated, also one that merged."""
+    def states(batch):
+        cards = {batch % 30, batch * 7 % 30}
+        rows = [(c, batch, 1.0 * c, ["x"], [], batch, f"{batch}", 0.0, 0.0) for c in cards]
+        return spark.createDataFrame(rows, STATE_SCHEMA)
+
+    log = StateLog(str(tmp_path / "states"), buckets=4, merge_every=5)
+    log.seed(spark)
+    files, parts, expected = {}, {}, {}
+    for batch in range(61):
+        if batch % 7 == 0:
+            before = {r["card_id"]: r["n_total"] for r in log.before(spark, 1, batch).collect()}
+            assert before == expected
+        files[batch] = len(log.before(spark, 1, batch).inputFiles())
+        parts[batch] = len(log.parts(spark, (1, batch))[1])
+        new = states(batch)
+        log.write(new, 1, batch)
+        if batch in (24, 31):
+            before = {r["card_id"]: r["n_total"] for r in log.before(spark, 1, batch).collect()}
+            assert before == expected
+            log.write(new, 1, batch)
+        expected.update({batch % 30: batch, (batch * 7) % 30: batch})
+    assert {r["card_id"]: r["n_total"] for r in log.current(spark).collect()} == expected
+    assert files[60] <= files[10] and max(files.values()) <= 4 + 4 and max(parts.values()) <= 4
+    kept = [p for p in (tmp_path / "states").glob("*/run=*/batch_id=*")]
+    assert len(kept) <= 3 + 10
+    with pytest.raises(ValueError, match="higher run"):
+        log.check_run(spark, 0, 99)
+
+
+def test_reset(spark, rows, waves, tmp_path):
+    base, inbox = str(tmp_path), str(tmp_path / "inbox")
+    log = StateLog(f"{base}/states", buckets=2)
+    snapshot = cut_lineage(card_state(waves[0]))
+    for attempt in range(2):
+        reset_stream(spark, snapshot, log, f"{base}/offsets", [f"{base}/features", f"{base}/none"])
+        assert not (tmp_path / "features").exists()
+        if not attempt:
+            export_messages(waves[1].unionByName(waves[2]), inbox)
+        drain(spark, inbox, StateJob(log, features_path=f"{base}/features"), f"{base}/offsets")
+        assert_states(log.current(spark), brute.states(rows, RETENTION))
+
+
 def test_state_table_must_exist(spark, waves, tmp_path):
     job = StateJob(StateLog(str(tmp_path / "none")))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
