@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,3 +74,18 @@ def remove(spark: SparkSession, path: str) -> None:
     """Deletes a file or folder, if it is there."""
     files, where = _file(spark, path)
     files.delete(where, True)
+
+
+def move_in_order(spark: SparkSession, sources: list[str], targets: list[str]) -> None:
+    """Renames files one after the other. Each gets a later time than the one before; a store that
+    cannot set times gives a renamed file its own."""
+    last = 0
+    for source, target in zip(sources, targets):
+        files, where = _file(spark, target)
+        files.mkdirs(where.getParent())
+        if not files.rename(_file(spark, source)[1], where):
+            raise OSError(f"cannot move {source} to {target}")
+        last = max(last + 1, time.time_ns() // 1_000_000)
+        files.setTimes(where, last, -1)
+        while time.time_ns() // 1_000_000 <= last:  # what comes next is later
+            time.sleep(0.001)

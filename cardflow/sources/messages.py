@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardflow.functions.messages import message_key, message_value
+from cardflow.operators.skew import SkewPolicy, hot_keys, split
+from cardflow.plans.workspace import children, move_in_order, new_dir, remove, written
 from cardflow.schema import MESSAGE_FIELDS
 
 FILE_SCHEMA = T.StructType(
@@ -18,8 +20,11 @@ FILE_SCHEMA = T.StructType(
 # a batch costs about the same up to some hundred thousand messages.
 MAX_PER_TRIGGER = 1_000_000
 MAX_BYTES = 256 << 20
-# Rows of one card that one task may write; a busier card is written in several jobs.
+# Rows of one card that one task may write; a busier card is written in several parts.
 CARD_ROWS = 1_000_000
+NO_CARD_TASKS = 64
+# Before any time: messages without one come first.
+NO_TIME = -(1 << 40)
 
 
 def message_fields(tx: DataFrame) -> DataFrame:
@@ -52,44 +57,88 @@ def export_messages(
 
     A card's messages are in order wherever the reader cuts: one task writes all of a card, in
     order of (ts, tx_id), so all of it is in one file or goes to the topic in that order. Cards
-    of more than `card_rows` messages are written by consecutive jobs over ranges of time, each
-    of which ends before the next begins; no order between tasks or files of a job matters.
+    of more than `card_rows` messages are cut into parts of consecutive times of about that many.
+    One partitioning by (part, card) writes all parts at once to the shared folder. Then files are
+    put in place part after part, with later names and times, as a stream reads files by their
+    times; a topic gets the parts in one small job each. How often `tx` is read does not depend on
+    the number of parts. Messages without a card have no order among themselves.
     """
     rows = tx.select(*MESSAGE_FIELDS)
     if limit is not None:
-        rows = rows.orderBy("ts", "tx_id").limit(limit)
-    edges = _time_edges(rows, card_rows)
-    for low, high in zip([None, *edges], [*edges, None]):
-        part = rows
-        if low is not None:
-            part = part.where(F.col("ts") >= low)
-        if high is not None:
-            before = F.col("ts") < high
-            part = part.where(before if low is not None else before | F.col("ts").isNull())
-        out = (
-            part.repartition("card_id")
-            .sortWithinPartitions("card_id", "ts", "tx_id")
-            .select(message_key().alias("key"), message_value(names=MESSAGE_FIELDS).alias("value"))
+        rows = written(rows.orderBy("ts", "tx_id").limit(limit), "first-messages")
+    busy = hot_keys([rows], "card_id", SkewPolicy(hot_rows=card_rows))
+    parted = _parted(rows, busy, card_rows) if busy is not None else rows.withColumn("_part", F.lit(0))
+    spread = F.when(F.col("card_id").isNull(), F.pmod(F.xxhash64("tx_id"), F.lit(NO_CARD_TASKS)))
+    out = (
+        parted.repartition("card_id", "_part", F.coalesce(spread, F.lit(0)))
+        .sortWithinPartitions("_part", "card_id", "ts", "tx_id")
+        .select(
+            message_key().alias("key"), message_value(names=MESSAGE_FIELDS).alias("value"), "_part"
         )
-        writer = out.write.format(fmt).options(**(options or {}))
+    )
+    if busy is None:
+        _save(out.drop("_part"), path, fmt, options)
+        return
+    spark, staged = tx.sparkSession, new_dir(tx.sparkSession, "parts")
+    kept = "parquet" if path is None else fmt
+    extra = {} if path is None else dict(options or {})
+    out.write.format(kept).options(**extra).partitionBy("_part").save(staged)
+    parts = sorted(int(n.split("=")[1]) for n in children(spark, staged) if n.startswith("_part="))
+    for part in parts:
+        folder = f"{staged}/_part={part}"
         if path is None:
-            writer.save()
+            _save(spark.read.schema(FILE_SCHEMA).parquet(folder), None, fmt, options, ordered=True)
         else:
-            writer.mode("append").save(path)
-
-
-def _time_edges(rows: DataFrame, card_rows: int) -> list:
-    """Times that cut the busiest cards' messages into parts of about `card_rows`."""
-    counts = rows.groupBy("card_id").agg(F.count("*").alias("_rows"))
-    most = counts.agg(F.max("_rows")).first()[0] or 0
-    parts = -(-most // card_rows)
-    if parts <= 1:
-        return []
-    busy = counts.where(F.col("_rows") > card_rows).select("card_id")
-    times = rows.join(busy, "card_id", "left_semi").select(F.col("ts").cast("timestamp").alias("ts"))
-    shares = [i / parts for i in range(1, parts)]
-    found = times.agg(F.percentile_approx(F.unix_micros("ts"), shares, 10_000).alias("t")).first()["t"]
-    return [F.timestamp_micros(F.lit(t)) for t in sorted(set(found or []))]
+            names = [n for n in children(spark, folder) if not n.startswith((".", "_"))]
+            targets = [f"{path}/part-{part:06d}-{n}" for n in names]
+            move_in_order(spark, [f"{folder}/{n}" for n in names], targets)
+    remove(spark, staged)
+
+
+def _save(
+    out: DataFrame, path: str | None, fmt: str, options: Mapping[str, str] | None, ordered: bool = False
+) -> None:
+    if ordered:  # a file's rows stay together and in order in one task
+        out = out.coalesce(max(1, len(out.inputFiles())))
+    writer = out.write.format(fmt).options(**(options or {}))
+    if path is None:
+        writer.save()
+    else:
+        writer.mode("append").save(path)
+
+
+def _parted(rows: DataFrame, busy: DataFrame, card_rows: int) -> DataFrame:
+    """`rows` plus `_part`: 0 for ordinary cards; for busy ones how often the card had `card_rows`
+    messages in earlier seconds. Seconds are summed first; days carry their totals over, so the
+    largest window is a card's days or a day's seconds, and a second's messages are one part."""
+    ordinary, hot = split(rows, busy, "card_id")
+    at = F.coalesce(F.unix_timestamp(F.col("ts").cast("timestamp")), F.lit(NO_TIME))
+    hot = hot.withColumn("_at", at)
+    seconds = (
+        hot.groupBy("card_id", "_at")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_day", F.floor(F.col("_at") / 86400))
+    )
+    before = (Window.unboundedPreceding, -1)
+    days = (
+        seconds.groupBy("card_id", "_day")
+        .agg(F.sum("_n").alias("_n"))
+        .select(
+            "card_id",
+            "_day",
+            F.sum("_n").over(Window.partitionBy("card_id").orderBy("_day").rowsBetween(*before)).alias("_n0"),
+        )
+    )
+    inside = Window.partitionBy("card_id", "_day").orderBy("_at").rowsBetween(*before)
+    zero = F.lit(0).cast("long")
+    earlier = F.coalesce("_n0", zero) + F.coalesce("_n1", zero)
+    parts = (
+        seconds.withColumn("_n1", F.sum("_n").over(inside))
+        .join(days, ["card_id", "_day"])
+        .select("card_id", "_at", F.floor(earlier / card_rows).cast("int").alias("_part"))
+    )
+    hot = hot.join(parts, ["card_id", "_at"]).select(*rows.columns, "_part")
+    return ordinary.withColumn("_part", F.lit(0)).unionByName(hot)
 
 
 def read_message_stream(

@@ -133,6 +133,49 @@ def test_export_keeps_each_card_in_order(spark, tx, waves, tmp_path):
     assert sum(map(len, files)) == all_rows.count()
 
 
+def test_a_very_busy_card_is_read_as_often_as_an_ordinary_one(spark, tmp_path):
+    """One card of 100 times `card_rows`, mostly in one hour, among others: its parts become files in
+    order of time, no part is much larger than asked, and the table is read a fixed number of times."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    table = (
+        spark.range(4000)
+        .withColumn("card_id", F.when(F.col("id") % 4 == 0, F.col("id") % 50).when(F.col("id") % 101 != 0, 7))
+        .withColumn("ts", F.timestamp_seconds(F.when(F.col("id") < 3000, F.col("id") * 2654435761 % 3600).otherwise(F.col("id") * 7919 % 9_000_000)))
+        .select("card_id", "ts", F.format_string("%05d", "id").alias("tx_id"), *[F.lit("x").alias(c) for c in ("merchant", "category", "gender")], *[F.lit(1.5).alias(c) for c in ("amount", "home_lat", "home_lon", "merch_lat", "merch_lon")], F.lit(5).alias("city_pop"), F.col("ts").alias("birth_date"))
+        .repartition(3)
+    )
+    reads = {}
+    for card_rows in (30, 1000, 10_000):
+        read.value = 0
+        inbox = tmp_path / f"inbox{card_rows}"
+        export_messages(table.mapInPandas(counted, table.schema), str(inbox), card_rows=card_rows)
+        reads[card_rows] = read.value / 4000
+        files = sorted(inbox.glob("part-*"), key=lambda p: (p.stat().st_mtime_ns, p.name))
+        last, per_file, total = {}, {}, 0
+        for path in files:
+            for message in map(json.loads, path.read_text().splitlines()):
+                total += 1
+                key = message.get("key")
+                value = json.loads(message["value"])
+                order = (value["fecha_hora_transaccion"], value["id_transaccion"])
+                assert key is None or last.get(key, order) <= order
+                last[key] = order
+                per_file[path, key] = per_file.get((path, key), 0) + 1
+        assert total == 4000
+        assert max(n for (_, key), n in per_file.items() if key == "7") <= card_rows + 8
+    assert reads[30] == reads[1000] <= 6
+    with_limit = tmp_path / "limited"
+    export_messages(table, str(with_limit), limit=500, card_rows=40)
+    ids = [json.loads(json.loads(line)["value"])["id_transaccion"] for p in with_limit.glob("part-*") for line in p.read_text().splitlines()]
+    assert sorted(ids) == sorted(r["tx_id"] for r in table.orderBy("ts", "tx_id").limit(500).collect())
+
+
 def test_batch_repeated_after_a_failure(spark, rows, waves, tmp_path):
     """A batch that ran but was not recorded by the stream runs again with the same result."""
     from cardflow.sources.messages import messages
