@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from cardflow.plans import jobs
 from cardflow.schema import VALIDATION_START
+from cardflow.sources.csv import read_raw
 from cardflow.sources.messages import MAX_PER_TRIGGER, read_message_stream
 from cardflow.sources.tables import read_state_snapshot
-from cardflow.streaming.job import TRIGGER_SECONDS, StateJob, start
+from cardflow.streaming.job import TRIGGER_SECONDS, Scorer, StateJob, start
 from cardflow.streaming.state_log import StateLog
 
 
@@ -69,6 +70,19 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--interval", type=int, default=TRIGGER_SECONDS)
     stream.add_argument("--max-per-batch", type=int, default=MAX_PER_TRIGGER)
 
+    stream.add_argument("--trained", help="output of train; with --model: decide as well")
+    stream.add_argument("--model")
+    stream.add_argument("--scores", help="where decision records go")
+
+    score = commands.add_parser("score", help="decide on the requests of raw CSV files")
+    score.add_argument("csv", nargs="+")
+    score.add_argument("--states", required=True, help="state table of a stream")
+    score.add_argument("--buckets", type=int, default=64)
+    score.add_argument("--trained", required=True)
+    score.add_argument("--model", required=True)
+    score.add_argument("--out", required=True)
+    score.add_argument("--rejects")
+
     train = commands.add_parser("train", help="fit, choose thresholds, compare with the champion")
     train.add_argument("--train", nargs="+", required=True)
     train.add_argument("--test", nargs="+", required=True)
@@ -98,17 +112,32 @@ def main(argv: list[str] | None = None) -> None:
         options = _options(args.option)
         jobs.publish(spark, args.csv, args.out, args.format, args.limit, options)
     elif args.job == "stream":
+        scorer = None
+        if args.scores:
+            if not (args.trained and args.model):
+                raise SystemExit("--scores needs --trained and --model")
+            model, threshold = jobs.load_trained(spark, args.trained, args.model)
+            scorer = Scorer(model, threshold, args.model, args.scores)
         job = StateJob(
             StateLog(args.states, args.buckets),
             run=args.run,
             features_path=args.features,
             rejects_path=args.rejects,
             audit_path=args.audit,
+            scorer=scorer,
         )
         messages = read_message_stream(
             spark, args.format, args.source, args.max_per_batch, _options(args.option)
         )
         start(messages, job, args.checkpoint, args.drain, args.interval).awaitTermination()
+    elif args.job == "score":
+        model, threshold = jobs.load_trained(spark, args.trained, args.model)
+        states = StateLog(args.states, args.buckets).current(spark)
+        requests = read_raw(spark, args.csv)
+        records, rejected = jobs.score(requests, states, model, threshold, args.model)
+        records.write.mode("overwrite").parquet(args.out)
+        if args.rejects:
+            rejected.write.mode("overwrite").parquet(args.rejects)
     elif args.job == "train":
         champion = None
         if args.champion:

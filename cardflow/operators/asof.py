@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from cardflow.operators.skew import DEFAULT, SkewPolicy, by_skew
 
 HOT_SEGMENT_S = 60
+#: Segments of a block, over a day of minutes: ten years are 2,567 blocks.
+BLOCK = 2048
 
 
 def asof_join(
@@ -78,7 +80,9 @@ def _ordinary(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def _hot(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct times of the left side meet the best right row of each time inside
-    (key, segment); the last right row of earlier segments is carried in."""
+    (key, segment). The last right row of earlier segments is carried in, from the same block of
+    segments or else from earlier blocks, so no window holds more than a block's segments or a
+    key's blocks."""
     best = right.groupBy("_key", "_ts").agg(F.max(F.struct("_tie", "_right")).alias("_b"))
     candidate = F.struct("_ts", "_b")
     points = (
@@ -91,15 +95,23 @@ def _hot(left: DataFrame, right: DataFrame) -> DataFrame:
             F.floor(F.unix_micros(F.col("_ts").cast("timestamp")) / (HOT_SEGMENT_S * 1_000_000)),
         )
     )
-    earlier = (
-        Window.partitionBy("_key")
-        .orderBy("_segment")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
+    frame = (Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy("_key", "_block").orderBy("_segment").rowsBetween(*frame)
+    of_blocks = Window.partitionBy("_key").orderBy("_block").rowsBetween(*frame)
+    segments = (
         points.groupBy("_key", "_segment")
         .agg(F.max("_c").alias("_c"))
-        .select("_key", "_segment", F.last("_c", ignorenulls=True).over(earlier).alias("_c0"))
+        .withColumn("_block", F.floor(F.col("_segment") / BLOCK))
+    )
+    blocks = (
+        segments.groupBy("_key", "_block")
+        .agg(F.max("_c").alias("_c"))
+        .select("_key", "_block", F.last("_c", ignorenulls=True).over(of_blocks).alias("_c2"))
+    )
+    carried = (
+        segments.withColumn("_c1", F.last("_c", ignorenulls=True).over(in_block))
+        .join(blocks, ["_key", "_block"])
+        .select("_key", "_segment", F.coalesce("_c1", "_c2").alias("_c0"))
     )
     until = (
         Window.partitionBy("_key", "_segment")

@@ -114,6 +114,15 @@ def train(
     return champion_report(metrics.where(F.col("model") != "amount_rule"), champion)
 
 
+def load_trained(spark: SparkSession, trained: str, name: str) -> tuple[PipelineModel, float]:
+    """A model that `train` wrote, and its threshold."""
+    metrics = spark.read.parquet(f"{trained}/metrics").where(F.col("model") == name)
+    row = metrics.select("threshold").first()
+    if row is None:
+        raise ValueError(f"{trained} has no model {name}")
+    return PipelineModel.load(f"{trained}/models/{name}"), row["threshold"]
+
+
 def score(
     requests: DataFrame,
     state: DataFrame,

@@ -5,19 +5,23 @@ Time splits only; classes are weighted, never resampled; nothing is promoted aut
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import (
     Interaction,
     OneHotEncoder,
+    SQLTransformer,
     StandardScaler,
     StringIndexer,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +33,7 @@ from cardflow.operators.cost import (
     flag_at,
     threshold_costs,
 )
-from cardflow.operators.prepare import with_class_weight
+from cardflow.operators.prepare import fit_standardizer, with_class_weight
 from cardflow.operators.split import Splits
 from cardflow.plans.workspace import ensure_checkpoint_dir
 from cardflow.schema import (
@@ -43,6 +47,7 @@ METRICS_SCHEMA = (
     "model string, threshold double, validation_cost double, test_cost double, pr_auc double"
 )
 TREES = 200
+STEPS = 20
 REGULARIZATION = (0.0, 0.001, 0.01)
 
 
@@ -117,24 +122,94 @@ def with_probability(tx: DataFrame, model: PipelineModel) -> DataFrame:
     row = tx.withColumn("_row", F.struct(*tx.columns)).withColumns(
         {c: F.col(c).cast("double") for c in NUMERIC_FEATURES}
     )
-    return model.transform(row).select(
-        "_row.*", vector_to_array("probability")[1].alias("probability")
+    scored = model.transform(row)
+    both = F.col("probability")
+    if isinstance(scored.schema["probability"].dataType, VectorUDT):
+        both = vector_to_array("probability")
+    return scored.select("_row.*", both[1].alias("probability"))
+
+
+def formula_model(bias: float, weights: dict[str, float]) -> PipelineModel:
+    """Logistic model with given weights of SQL expressions over the model inputs. It is saved and
+    loaded like any other."""
+    terms = [f"{float(bias)!r}D", *[f"{float(w)!r}D * ({x})" for x, w in weights.items()]]
+    statement = (
+        "SELECT *, array(1 - _p, _p) AS probability FROM "
+        f"(SELECT *, 1 / (1 + exp(-({' + '.join(terms)}))) AS _p FROM __THIS__)"
     )
+    return PipelineModel([SQLTransformer(statement=statement)])
 
 
-class BusinessCostEvaluator(Evaluator):
-    """Cost at the best threshold; smaller is better."""
-
-    def __init__(self, review: float = REVIEW_COST) -> None:
-        super().__init__()
-        self.review = review
+@dataclass(frozen=True)
+class Choice:
+    """The chosen model, its step (from 1), and the best threshold and cost of every step."""
+
+    model: PipelineModel
+    step: int
+    costs: list[tuple[int, float, float]]
+
+    def table(self, df: DataFrame) -> DataFrame:
+        """Rows (step, threshold, cost, chosen)."""
+        rows = [(*c, c[0] == self.step) for c in self.costs]
+        return df.sparkSession.createDataFrame(
+            rows, "step int, threshold double, cost double, chosen boolean"
+        )
+
+
+def choose_by_cost(
+    models: Iterable[PipelineModel], validation: DataFrame, review: float = REVIEW_COST
+) -> Choice:
+    """The model whose best threshold costs least on the validation rows; a later one must be
+    strictly better. `models` may be fits of one model, each going on from the one before: they are
+    taken one at a time."""
+    best, chosen, costs = None, 0, []
+    for step, model in enumerate(models, 1):
+        scored = with_probability(validation, model).select("is_fraud", "amount", "probability")
+        found = best_threshold(threshold_costs(scored, "probability", review=review)).first()
+        if best is None or found["cost"] < costs[chosen - 1][2]:
+            best, chosen = model, step
+        costs.append((step, found["threshold"], found["cost"]))
+    if best is None:
+        raise ValueError("no model to choose from")
+    return Choice(best, chosen, costs)
+
+
+def linear_steps(train: DataFrame, steps: int = STEPS, rate: float = 0.2) -> Iterator[PipelineModel]:
+    """Class-weighted logistic model after each of `steps` passes over the rows. A pass sums the
+    gradient over all rows, one number per input; the next starts from the weights it gave, moved
+    by running means of the gradient and of its square."""
+    names = {c: [r[0] for r in train.select(c).distinct().orderBy(c).collect()] for c in CATEGORICAL_FEATURES}
+    fitted = fit_standardizer(train.select(*[F.col(c).cast("double").alias(c) for c in NUMERIC_FEATURES]), NUMERIC_FEATURES).first()
+    inputs = [f"(cast({c} AS double) - {fitted[f'mean_{c}']!r}D) / {fitted[f'std_{c}']!r}D" for c in NUMERIC_FEATURES]
+    inputs += [f"coalesce(cast({c} = {_quoted(v)} AS double), 0D)" for c, values in names.items() for v in values if v is not None]
+    rows = _inputs(train, weighted=True).select(
+        *[F.expr(x).alias(f"x{j}") for j, x in enumerate(inputs)],
+        F.col("is_fraud").cast("double").alias("y"),
+        "weight",
+    )
+    rows = rows.persist()
+    try:
+        total = rows.agg(F.sum("weight")).first()[0] or 1.0
+        w = [0.0] * (len(inputs) + 1)
+        mean, square = list(w), list(w)
+        for step in range(1, steps + 1):
+            terms = [f"{w[-1]!r}D", *[f"{v!r}D * x{j}" for j, v in enumerate(w[:-1])]]
+            off = F.expr(f"weight * (1 / (1 + exp(-({' + '.join(terms)}))) - y)")
+            moved = rows.withColumn("_off", off)
+            sums = moved.agg(*[F.sum(F.col("_off") * F.col(f"x{j}")) for j in range(len(inputs))], F.sum("_off")).first()
+            for j, g in enumerate(sums):
+                g = (g or 0.0) / total
+                mean[j] = 0.9 * mean[j] + 0.1 * g
+                square[j] = 0.99 * square[j] + 0.01 * g * g
+                up = mean[j] / (1 - 0.9**step)
+                w[j] -= rate * up / (math.sqrt(square[j] / (1 - 0.99**step)) + 1e-8)
+            yield formula_model(w[-1], dict(zip(inputs, w[:-1])))
+    finally:
+        rows.unpersist()
 
-    def _evaluate(self, dataset: DataFrame) -> float:
-        costs = threshold_costs(dataset, "probability", review=self.review)
-        return best_threshold(costs).first()["cost"]
 
-    def isLargerBetter(self) -> bool:
-        return False
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def choose_linear(
@@ -143,15 +218,10 @@ def choose_linear(
     regularizations: tuple[float, ...] = REGULARIZATION,
     review: float = REVIEW_COST,
 ) -> PipelineModel:
-    """The fit of least validation cost; a later one must be strictly better."""
-    evaluator = BusinessCostEvaluator(review)
-    best, best_cost = None, float("inf")
-    for value in regularizations:
-        model = fit_linear(train, value)
-        cost = evaluator.evaluate(with_probability(validation, model))
-        if best is None or cost < best_cost:
-            best, best_cost = model, cost
-    return best
+    """The fit of least validation cost, of all regularizations and all numbers of passes; a later one
+    must be strictly better."""
+    fits = (fit_linear(train, value) for value in regularizations)
+    return choose_by_cost(chain(fits, linear_steps(train)), validation, review).model
 
 
 @dataclass(frozen=True)

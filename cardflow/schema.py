@@ -83,6 +83,14 @@ EVENT_TYPES = {
     "merch_lat": T.DoubleType(),
     "merch_lon": T.DoubleType(),
 }
+# What scoring needs besides; a state does without.
+REQUEST_TYPES = {
+    "gender": T.StringType(),
+    "birth_date": T.StringType(),
+    "home_lat": T.DoubleType(),
+    "home_lon": T.DoubleType(),
+    "city_pop": T.LongType(),
+}
 EVENT_COLUMNS = ["card_id", "tx_id", "epoch_s", "amount", "category", "merch_lat", "merch_lon"]
 
 HISTORY_FEATURES = [

@@ -10,15 +10,19 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from cardflow.functions.messages import is_complete, parse_messages, valid_events
 from cardflow.operators.history import history_features
+from cardflow.operators.request import check_requests
+from cardflow.operators.rowfeatures import row_features
 from cardflow.operators.skew import DEFAULT, UNIFORM, SkewPolicy
 from cardflow.operators.state import card_state, fresh_rows, merge_state, state_rows
-from cardflow.schema import MESSAGE_FIELDS, RETENTION, WINDOWS
+from cardflow.plans.training import score_requests
+from cardflow.schema import HISTORY_FEATURES, MESSAGE_FIELDS, REQUEST_TYPES, RETENTION, WINDOWS
 from cardflow.streaming.state_log import StateLog
 
 TRIGGER_SECONDS = 2
@@ -26,13 +30,24 @@ TRIGGER_SECONDS = 2
 MERGE_CACHED = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 
 
+@dataclass(frozen=True)
+class Scorer:
+    """A saved model with its threshold and version, and where decision records go."""
+
+    model: PipelineModel
+    threshold: float
+    version: str
+    path: str
+
+
 @dataclass(frozen=True)
 class StateJob:
     """Where a stream writes and how it counts.
 
     `run` numbers the checkpoints that ever fed this log, from 1; a fresh checkpoint takes a
     higher one. `retention` must be at least the longest window. Features, rejected events and
-    the audit row of each batch are written if their path is given.
+    the audit row of each batch are written if their path is given, decision records if there is a
+    scorer.
     """
 
     log: StateLog
@@ -40,6 +55,7 @@ class StateJob:
     features_path: str | None = None
     rejects_path: str | None = None
     audit_path: str | None = None
+    scorer: Scorer | None = None
     windows: Mapping[str, int] = field(default_factory=lambda: dict(WINDOWS))
     retention: int = RETENTION
     policy: SkewPolicy = DEFAULT
@@ -55,7 +71,7 @@ class StateJob:
         self.log.check_run(spark, self.run, batch_id)
         before = spark.conf.get(MERGE_CACHED)
         spark.conf.set(MERGE_CACHED, "true")
-        events = parse_messages(messages, self.names).persist()
+        events = parse_messages(messages, self.names, self.scorer is not None).persist()
         try:
             self._process(spark, events, batch_id)
         finally:
@@ -82,12 +98,18 @@ class StateJob:
         )
         fresh = fresh_rows(tx, state, policy).persist()
         try:
-            if self.features_path:
+            if self.features_path or self.scorer:
                 # A small batch can still meet a card with a long day in its state.
                 features = stream_features(
                     fresh, state, self.windows, self.retention, self.policy
-                )
-                features.write.mode("overwrite").parquet(self._path(self.features_path, batch_id))
+                ).persist()
+                if self.features_path:
+                    shown = features.drop(*[c for c in ("ts", *REQUEST_TYPES) if c in features.columns])
+                    shown.write.mode("overwrite").parquet(self._path(self.features_path, batch_id))
+                if self.scorer:
+                    records = stream_scores(features, self.scorer)
+                    records.write.mode("overwrite").parquet(self._path(self.scorer.path, batch_id))
+                features.unpersist()
             delta = card_state(fresh.drop("_seen"), self.retention, policy)
             self.log.write(merge_state(state, delta, self.retention), self.run, batch_id)
             if self.audit_path:
@@ -144,6 +166,30 @@ def stream_features(
     )
 
 
+def stream_scores(features: DataFrame, scorer: Scorer) -> DataFrame:
+    """Decision records of the fresh rows of a batch with their features. A row that lacks a field
+    only scoring needs, or has a value it cannot take, gets a record with the reason and no decision.
+    Late and repeated rows are not fresh, so each transaction is decided once."""
+    asked = check_requests(features)
+    known = F.col("prev_distance_km").isNotNull()
+    asked = asked.withColumns({"has_history": known, "status": F.when(known, "ok").otherwise("new")})
+    columns = [
+        "card_id", "tx_id", "epoch_s", "status", "has_history", "reject_reason",
+        "probability", "decision", "threshold", "model_version", "history",
+    ]
+    model = (scorer.model, scorer.threshold, scorer.version)
+    valid = F.col("reject_reason").isNull()
+    scored = score_requests(row_features(asked.where(valid)), *model).select(*columns)
+    nothing = {
+        "probability": F.lit(None).cast("double"),
+        "decision": F.lit(None).cast("boolean"),
+        "threshold": F.lit(float(scorer.threshold)),
+        "model_version": F.lit(scorer.version),
+        "history": F.struct(*HISTORY_FEATURES),
+    }
+    return scored.unionByName(asked.where(~valid).withColumns(nothing).select(*columns))
+
+
 def start(
     messages: DataFrame,
     job: StateJob,

@@ -41,7 +41,7 @@ from cardflow.sources.tables import (
     write_state_snapshot,
 )
 from cardflow.streaming.fold import stateful_fold, to_state
-from cardflow.streaming.job import StateJob, read_batches, start, stream_features
+from cardflow.streaming.job import Scorer, StateJob, read_batches, start, stream_features
 from cardflow.streaming.state_log import StateLog
 from contract.tables import ORDER_RETENTION, ORDER_WINDOWS, table, tx_events, tx_orders
 
@@ -578,6 +578,115 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: A logistic model with given weights, so that SQL can score as well.
+FIXED_BIAS = -3.0
+FIXED_WEIGHTS = {
+    "amount": 0.012,
+    "hour": 0.05,
+    "city_pop": 0.000004,
+    "cast(category = 'error' AS double)": 1.5,
+}
+FIXED_THRESHOLD = 0.3
+#: The same model after each of some imagined passes: how far the weights have come.
+STEP_SHARES = [0.4, 0.7, 1.0, 1.3]
+
+
+def _fixed(share: float = 1.0):
+    weights = {x: share * w for x, w in FIXED_WEIGHTS.items()}
+    return training.formula_model(FIXED_BIAS, weights)
+
+
+def matrix(spark: SparkSession, sf: str) -> DataFrame:
+    out = training.model_matrix(row_features(tx_events(spark, sf)))
+    return _rounded(out, {"age": 6, "home_merchant_km": 4})
+
+
+METRIC_PLACES = {"threshold": 6, "validation_cost": 2, "test_cost": 2, "pr_auc": 9}
+
+
+def rule_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    out = training.run_amount_rule(_splits(spark, sf)).metrics
+    return _rounded(out.drop("pr_auc"), METRIC_PLACES)
+
+
+def candidate_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(training.run_candidate("fixed", _fixed(), _splits(spark, sf)).metrics, METRIC_PLACES)
+
+
+def choice_by_cost(spark: SparkSession, sf: str) -> DataFrame:
+    validation = _splits(spark, sf).validation
+    choice = training.choose_by_cost([_fixed(s) for s in STEP_SHARES], validation)
+    return _rounded(choice.table(validation), {"threshold": 6, "cost": 2})
+
+
+def linear_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Costs after each pass of a fit, and the pass that was chosen."""
+    splits = _splits(spark, sf)
+    choice = training.choose_by_cost(training.linear_steps(splits.train), splits.validation)
+    return _rounded(choice.table(splits.train), {"threshold": 6, "cost": 2})
+
+
+def decision_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests from `EVENT_CUT` on against states of `EVENT_TEST`: early ones are conflicts."""
+    tx = tx_events(spark, sf)
+    known = card_state(tx.where(F.col("ts") < F.lit(EVENT_TEST).cast("timestamp")))
+    requests = tx.where(F.col("ts") >= F.lit(EVENT_CUT).cast("timestamp"))
+    features = request_features(row_features(requests), known)
+    out = training.score_requests(features, _fixed(), FIXED_THRESHOLD, "fixed-1")
+    return out.select(
+        "card_id", "tx_id", "status", "has_history", F.round("probability", 6).alias("probability"),
+        "decision", "threshold", "model_version",
+    )
+
+
+def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Cold start from the first wave, decisions on the two others as they stream by, and again from a
+    fresh checkpoint, which decides on nothing."""
+    base = new_dir(spark, "scores")
+    log = StateLog(f"{base}/states", buckets=8)
+    first, *rest = _event_waves(spark, sf)
+    log.seed(spark, card_state(first))
+    scorer = Scorer(_fixed(), FIXED_THRESHOLD, "fixed-1", f"{base}/scores")
+    for wave in rest:
+        export_messages(wave, f"{base}/inbox")
+        source = read_message_stream(spark, path=f"{base}/inbox")
+        job = StateJob(log, scorer=scorer)
+        start(source, job, f"{base}/offsets", drain=True).awaitTermination()
+    again = StateJob(log, run=2, scorer=scorer)
+    source = read_message_stream(spark, path=f"{base}/inbox")
+    start(source, again, f"{base}/offsets_again", drain=True).awaitTermination()
+    return read_batches(spark, scorer.path).select(
+        "card_id", "tx_id", "status", "has_history", "reject_reason",
+        F.round("probability", 6).alias("probability"), "decision", "threshold", "model_version",
+    )
+
+
+def batch_cards(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit of three batches, the third a repetition of the second under its own number."""
+    base = new_dir(spark, "cards")
+    log = StateLog(f"{base}/states", buckets=8)
+    first, second, third = _event_waves(spark, sf)
+    log.seed(spark, card_state(first))
+    job = StateJob(log, audit_path=f"{base}/audit")
+    for number, wave in enumerate((second, third, third)):
+        job.process(messages(wave).select(F.col("value").cast("binary").alias("value")), number)
+    return read_batches(spark, job.audit_path).select(
+        F.col("batch_id").cast("long").alias("batch_id"),
+        "rows", "rejected", "cards", "late_or_repeated", "cards_changed",
+    )
+
+
+def missing_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Scoring without a state table fails; it must not treat all cards as new."""
+    log = StateLog(f"{new_dir(spark, 'absent')}/states")
+    cards = table(spark, sf, "customer").select(F.col("c_custkey").alias("card_id"))
+    try:
+        found = log.current(spark)
+    except FileNotFoundError:
+        return cards.agg(F.count("*").alias("cards"), F.lit(True).alias("failed"))
+    return cards.join(found, "card_id").agg(F.count("*").alias("cards"), F.lit(False).alias("failed"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_features": history,
     "history_features_ties": history_ties,
@@ -625,6 +734,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_features": stream_feature_rows,
     "stream_audit": stream_audit,
     "stateful_states": stateful_states,
+    "model_matrix": matrix,
+    "rule_baseline": rule_baseline,
+    "candidate_metrics": candidate_metrics,
+    "choice_by_cost": choice_by_cost,
+    "linear_steps": linear_steps,
+    "decision_records": decision_records,
+    "stream_scores": stream_scores,
+    "batch_cards": batch_cards,
+    "missing_states": missing_states,
     "train_candidates": candidates,
     "score_transactions": scored,
 }

@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from contract.queries import EVENT_CUT, EVENT_TEST, ORDER_CUTS
+from contract.queries import (
+    EVENT_CUT,
+    EVENT_TEST,
+    FIXED_BIAS,
+    FIXED_THRESHOLD,
+    FIXED_WEIGHTS,
+    ORDER_CUTS,
+    STEP_SHARES,
+)
 
 HALF = "sin(radians({b} - {a}) / 2)"
 
@@ -125,6 +133,21 @@ SELECT card_id, tx_id, status, last_epoch IS NOT NULL AS has_history, {shown},
 FROM s"""
 
 
+def _probability(share: str = "1.0") -> str:
+    """The fixed model over columns of tx."""
+    terms = " + ".join(
+        f"{share} * {w!r} * {x.replace('hour', 'hour(ts)')}" for x, w in FIXED_WEIGHTS.items()
+    )
+    return f"(1 / (1 + exp(-({FIXED_BIAS!r} + {terms}))))"
+
+
+VALIDATION = f"ts >= TIMESTAMP '{EVENT_CUT}' AND ts < TIMESTAMP '{EVENT_TEST}'"
+CANDIDATES = (
+    "SELECT CAST(i AS INTEGER) AS i, 0.01::DOUBLE + (i - 1) * 0.01::DOUBLE AS threshold "
+    "FROM range(1, 100) r(i)"
+)
+COST = "sum(CASE WHEN {score} >= {threshold} THEN 10.0 WHEN is_fraud THEN amount ELSE 0 END)"
+
 BOUNDS = "least(greatest(CAST(floor((amount - lo) / (hi - lo) * 50) AS INTEGER), 0), 49)"
 
 SWEEP = """
@@ -336,4 +359,69 @@ SELECT tx_id, card_id, epoch_s, strftime(birth_date, '%Y-%m-%d') AS birth_date,
 FROM events CROSS JOIN (VALUES (1), (2)) v(run)
 WHERE ts >= TIMESTAMP '{EVENT_CUT}' GROUP BY run""",
     "stateful_states": _state(EVENTS, 86400),
+    "model_matrix": f"""WITH {EVENTS}
+SELECT amount, CAST(hour(ts) AS DOUBLE) AS hour, CAST(isodow(ts) - 1 AS DOUBLE) AS weekday,
+  round((CAST(ts AS DATE) - birth_date) / 365.25, 6) AS age,
+  round({_km("home_lat", "home_lon", "merch_lat", "merch_lon")}, 4) AS home_merchant_km,
+  CAST(city_pop AS DOUBLE) AS city_pop, category, gender FROM tx""",
+    "rule_baseline": f"""WITH {EVENTS},
+v AS (SELECT * FROM tx WHERE {VALIDATION}),
+t AS (SELECT i, (SELECT quantile_cont(amount, {LEVELS}) FROM v)[i] AS threshold
+  FROM ({CANDIDATES})),
+c AS (SELECT i, threshold, {COST.format(score="amount", threshold="threshold")} AS cost
+  FROM v CROSS JOIN t GROUP BY i, threshold),
+b AS (SELECT * FROM c ORDER BY cost, i LIMIT 1)
+SELECT 'amount_rule' AS model, round(threshold, 6) AS threshold, round(cost, 2) AS validation_cost,
+  round((SELECT {COST.format(score="amount", threshold="(SELECT threshold FROM b)")}
+    FROM tx WHERE ts >= TIMESTAMP '{EVENT_TEST}'), 2) AS test_cost FROM b""",
+    "candidate_metrics": f"""WITH {EVENTS},
+p AS (SELECT *, {_probability()} AS p FROM tx),
+c AS (SELECT i, threshold, {COST.format(score="p", threshold="threshold")} AS cost
+  FROM (SELECT * FROM p WHERE {VALIDATION}) CROSS JOIN ({CANDIDATES}) GROUP BY i, threshold),
+b AS (SELECT * FROM c ORDER BY cost, i LIMIT 1),
+s AS (SELECT * FROM p WHERE ts >= TIMESTAMP '{EVENT_TEST}'),
+g AS (SELECT p, sum(CAST(is_fraud AS INTEGER)) AS tp, count(*) AS n FROM s GROUP BY p),
+w AS (SELECT tp, sum(tp) OVER o AS cum_tp, sum(n) OVER o AS cum_n FROM g
+  WINDOW o AS (ORDER BY p DESC))
+SELECT 'fixed' AS model, round(threshold, 6) AS threshold, round(cost, 2) AS validation_cost,
+  round((SELECT {COST.format(score="p", threshold="(SELECT threshold FROM b)")} FROM s), 2)
+    AS test_cost,
+  round((SELECT sum(tp * (cum_tp / cum_n)) / sum(tp) FROM w), 9) AS pr_auc FROM b""",
+    "choice_by_cost": f"""WITH {EVENTS},
+steps AS (SELECT unnest({STEP_SHARES}) AS share, unnest(range(1, {len(STEP_SHARES) + 1})) AS step),
+p AS (SELECT step, amount, is_fraud, {_probability("share")} AS p
+  FROM tx CROSS JOIN steps WHERE {VALIDATION}),
+c AS (SELECT step, i, threshold, {COST.format(score="p", threshold="threshold")} AS cost
+  FROM p CROSS JOIN ({CANDIDATES}) GROUP BY step, i, threshold),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY step ORDER BY cost, i) = 1)
+SELECT CAST(step AS INTEGER) AS step, round(threshold, 6) AS threshold, round(cost, 2) AS cost,
+  row_number() OVER (ORDER BY cost, step) = 1 AS chosen FROM b""",
+    "decision_records": f"""WITH {EVENTS},
+known AS (SELECT card_id, max(epoch_s) AS last_epoch FROM tx
+  WHERE ts < TIMESTAMP '{EVENT_TEST}' GROUP BY card_id),
+s AS (SELECT *, {_probability()} AS p, CASE WHEN last_epoch IS NULL THEN 'new'
+    WHEN epoch_s < last_epoch THEN 'conflict' ELSE 'ok' END AS status
+  FROM tx LEFT JOIN known USING (card_id) WHERE ts >= TIMESTAMP '{EVENT_CUT}')
+SELECT card_id, tx_id, status, last_epoch IS NOT NULL AS has_history,
+  CASE WHEN status <> 'conflict' THEN round(p, 6) END AS probability,
+  CASE WHEN status <> 'conflict' THEN p >= {FIXED_THRESHOLD} END AS decision,
+  CAST({FIXED_THRESHOLD} AS DOUBLE) AS threshold, 'fixed-1' AS model_version FROM s""",
+    "stream_scores": f"""WITH {EVENTS},
+s AS (SELECT *, {_probability()} AS p,
+    row_number() OVER (PARTITION BY card_id ORDER BY epoch_s, tx_id) > 1 AS has_history FROM tx)
+SELECT card_id, tx_id, CASE WHEN has_history THEN 'ok' ELSE 'new' END AS status, has_history,
+  CAST(NULL AS VARCHAR) AS reject_reason, round(p, 6) AS probability,
+  p >= {FIXED_THRESHOLD} AS decision, CAST({FIXED_THRESHOLD} AS DOUBLE) AS threshold,
+  'fixed-1' AS model_version
+FROM s WHERE ts >= TIMESTAMP '{EVENT_CUT}'""",
+    "batch_cards": f"""WITH {EVENTS},
+w AS (SELECT 0 AS batch_id, * FROM tx WHERE {VALIDATION}
+  UNION ALL SELECT b, tx.* FROM tx CROSS JOIN (VALUES (1), (2)) v(b)
+  WHERE ts >= TIMESTAMP '{EVENT_TEST}')
+SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS rows, CAST(0 AS BIGINT) AS rejected,
+  count(DISTINCT card_id) AS cards,
+  CASE WHEN batch_id = 2 THEN count(*) ELSE CAST(0 AS BIGINT) END AS late_or_repeated,
+  CASE WHEN batch_id = 2 THEN CAST(0 AS BIGINT) ELSE count(DISTINCT card_id) END AS cards_changed
+FROM w GROUP BY batch_id""",
+    "missing_states": "SELECT count(*) AS cards, true AS failed FROM customer",
 }

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import pytest
@@ -88,3 +89,24 @@ def test_latest_per_key(spark):
     )
     got = latest_per_key(df, start="1970-01-01 00:00:10", end="1970-01-01 00:01:30")
     assert [tuple(r)[2:] for r in got.select("card_id", "ts", "tx_id", "v").collect()] == [("c", 3)]
+
+
+def test_blocks_of_segments(spark, monkeypatch):
+    """Segments of a second in blocks of three, over stretches without any right row."""
+    from cardflow.operators import asof
+
+    monkeypatch.setattr(asof, "HOT_SEGMENT_S", 1)
+    monkeypatch.setattr(asof, "BLOCK", 3)
+    rng = random.Random(9)
+
+    def frame(n, name, places):
+        rows = [(rng.choice([1, 2]), dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rng.choice(places)), f"{i:03d}", i) for i in range(n)]
+        return spark.createDataFrame(rows, f"card_id long, ts timestamp, tx_id string, {name} int").checkpoint()
+
+    left = frame(120, "l", range(200))
+    right = frame(60, "v", [*range(10, 25), 60, 61, 150])
+    ordinary, hot = (
+        sorted(map(tuple, asof_join(left, right, ["v"], policy=SkewPolicy(hot_rows=h)).collect()), key=str)
+        for h in (10**6, 0)
+    )
+    assert ordinary == hot and any(r[-1] is None for r in hot)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cardflow.__main__ import main
 from cardflow.operators.history import history_features
 from cardflow.plans.jobs import score, train
+from cardflow.plans.training import formula_model
 from cardflow.schema import HISTORY_FEATURES, RAW_COLUMNS
 from cardflow.sources.csv import read_raw, read_transactions
 from cardflow.streaming.job import read_batches
@@ -69,6 +70,40 @@ def test_batch_and_stream_commands(spark, files, tmp_path):
     assert len(online) == 80 and all(batch[k] == v for k, v in online.items())
 
 
+def test_decisions_in_the_stream_and_in_batch(spark, files, tmp_path):
+    """The stream decides on each message as the batch command does, and once."""
+    out = {n: str(tmp_path / n) for n in "snap states inbox offsets scores batch rejects trained".split()}
+    fixed = formula_model(-2.0, {"amount": 0.004, "hour": 0.03, "cast(category = 'fuel' AS double)": 0.5})
+    fixed.write().save(f"{out['trained']}/models/fixed")
+    spark.createDataFrame([("fixed", 0.4)], "model string, threshold double").write.parquet(f"{out['trained']}/metrics")
+    main(["state", files[0], "--out", out["snap"], "--files", "1"])
+    main(["seed", out["snap"], "--states", out["states"], "--buckets", "4"])
+    model = ["--trained", out["trained"], "--model", "fixed"]
+    main(["score", files[1], "--states", out["states"], "--buckets", "4", "--out", out["batch"], "--rejects", out["rejects"], *model])
+    main(["publish", files[1], "--out", out["inbox"]])
+    broken = spark.read.json(out["inbox"]).limit(1).withColumn("value", F.regexp_replace("value", '"poblacion_ciudad":[0-9]+', '"poblacion_ciudad":0')).withColumn("value", F.regexp_replace("value", '"id_transaccion":"', '"id_transaccion":"zz'))
+    broken = broken.withColumn("value", F.regexp_replace("value", "2020-", "2031-")).checkpoint()
+    broken.write.mode("append").json(out["inbox"])
+    for run in ("1", "2"):
+        main(
+            ["stream", "--source", out["inbox"], "--states", out["states"], "--buckets", "4", "--run", run,
+             "--checkpoint", out["offsets"] + run, "--scores", out["scores"], "--drain", *model]
+        )
+    batch = {r["tx_id"]: r for r in spark.read.parquet(out["batch"]).collect()}
+    online = read_batches(spark, out["scores"]).collect()
+    assert len(online) == len({r["tx_id"] for r in online}) == 81 and len(batch) == 80
+    for r in online:
+        if r["tx_id"].startswith("zz"):
+            assert (r["reject_reason"], r["probability"], r["decision"]) == ("city_pop not positive", None, None)
+            continue
+        b = batch[r["tx_id"]]
+        assert abs(r["probability"] - b["probability"]) < 1e-12
+        assert (r["decision"], r["threshold"], r["model_version"]) == (b["decision"], 0.4, "fixed")
+        assert r["decision"] == (r["probability"] >= 0.4)
+    with pytest.raises(ValueError, match="no model"):
+        main(["score", files[1], "--states", out["states"], "--buckets", "4", "--out", out["batch"], "--trained", out["trained"], "--model", "none"])
+
+
 def test_publish_limit(spark, files, tmp_path):
     main(["publish", files[1], "--out", str(tmp_path / "few"), "--limit", "5"])
     keys = spark.read.json(str(tmp_path / "few")).select(

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -87,3 +88,36 @@ def test_saved_model_scores_requests(spark, candidates, splits, tmp_path):
     assert all(r["decision"] == (r["probability"] >= 0.5) for r in out if r["card_id"] != 5)
     assert out[0]["history"].asDict().keys() == set(HISTORY_FEATURES)
     assert (out[0]["threshold"], out[0]["model_version"]) == (0.5, "v1")
+
+
+def test_choice_between_passes_of_one_fit(splits):
+    steps = list(training.linear_steps(splits.train, steps=8))
+    choice = training.choose_by_cost(iter(steps), splits.validation)
+    assert [c[0] for c in choice.costs] == list(range(1, 9))
+    least = min(c[2] for c in choice.costs)
+    assert choice.step == next(s for s, _, cost in choice.costs if cost == least)
+    assert choice.model is steps[choice.step - 1]
+    assert [r["chosen"] for r in choice.table(splits.train).collect()].count(True) == 1
+    # Passes go on from each other, down the weighted loss; one pass again is the first of them.
+    def loss(model):
+        rows = training.with_probability(splits.train, model).select("is_fraud", "probability").collect()
+        return sum(-9 * math.log(p) if y else -math.log(1 - p) for y, p in rows)
+
+    assert loss(steps[0]) > loss(steps[3]) > loss(steps[7])
+    once = next(training.linear_steps(splits.train, steps=1))
+    assert once.stages[0].getStatement() == steps[0].stages[0].getStatement()
+    equal = training.choose_by_cost([steps[0], steps[0]], splits.validation)
+    assert equal.step == 1
+    with pytest.raises(ValueError):
+        training.choose_by_cost([], splits.validation)
+
+
+def test_formula_model_is_saved(spark, splits, tmp_path):
+    model = training.formula_model(-1.0, {"amount": 0.002, "cast(category = 'it\\'s' AS double)": 3.0})
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = training.with_probability(splits.test, PipelineModel.load(str(tmp_path / "m")))
+    for r in again.limit(5).collect():
+        assert abs(r["probability"] - 1 / (1 + math.exp(1.0 - 0.002 * r["amount"]))) < 1e-12
+    odd = splits.train.withColumn("category", F.when(F.col("card_id") % 3 == 0, "it's \\ odd").when(F.col("card_id") % 3 == 1, "x"))
+    model = next(training.linear_steps(odd, steps=1))
+    assert training.with_probability(odd, model).where("probability between 0 and 1").count() == 200
