@@ -14,12 +14,13 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardflow.llm import kept
+
 #: 16 MB each.
 BITS = 27
 _ROW = 15
-
-
-_OPEN: dict[str, np.ndarray] = {}
+#: Bitmaps a worker keeps open.
+OPENED = 2
 
 
 class Bitmap:
@@ -30,11 +31,12 @@ class Bitmap:
 
     @property
     def value(self) -> np.ndarray:
-        if self.name not in _OPEN:
-            while len(_OPEN) >= 3:
-                del _OPEN[next(iter(_OPEN))]
-            _OPEN[self.name] = np.frombuffer(zlib.decompress(self.sent.value), dtype=np.uint8)
-        return _OPEN[self.name]
+        opened = kept.of(kept.WORDS).setdefault("bitmaps", {})
+        if self.name not in opened:
+            while len(opened) >= OPENED:
+                del opened[next(iter(opened))]
+            opened[self.name] = np.frombuffer(zlib.decompress(self.sent.value), dtype=np.uint8)
+        return opened[self.name]
 
 
 def drop(bitmaps: dict[str, Bitmap]) -> None:

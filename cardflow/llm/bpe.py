@@ -10,7 +10,8 @@ concatenates the bytes in order of position.
 Spark partitions the documents; a task holds one batch of texts, a bounded cache of units and a
 DuckDB limited to `MEMORY`, which never touches the disk.
 
-Defined results: a null or empty text has no ids; repeated rows have equal results.
+Defined results: a null or empty text has no ids; repeated rows have equal results; a very long text
+is encoded unit by unit and decoded in slices, within the same memory of DuckDB.
 """
 
 from __future__ import annotations
@@ -25,12 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardflow.llm import kept
 from cardflow.llm.units import Cache, groups
 
 #: Below 1000, the factor in CONTRACT.
 LONG = 96
 MEMORY = "300MB"
 WORDS = 10_000
+#: Ids that one decoding query takes.
+DECODED = 1 << 18
 
 CONTRACT = """
 WITH RECURSIVE state(word, step, pos, tok) AS (
@@ -167,29 +171,49 @@ class Codec:
         return [np.frombuffer(b"".join(parts), dtype="<u4") for parts in self.units.texts(texts)]
 
     def decode(self, rows: list[np.ndarray]) -> list[bytes]:
-        lengths = np.array([len(r) for r in rows])
-        out = [b""] * len(rows)
-        if not lengths.sum():
-            return out
+        """The bytes of each row of ids. Long rows go in slices, each an ordered aggregation, so memory
+        does not depend on their length."""
+        out: list[list[bytes]] = [[] for _ in rows]
+        part: list[tuple[int, np.ndarray]] = []
+        size = 0
+        for k, row in enumerate(rows):
+            for at in range(0, len(row), DECODED):
+                part.append((k, row[at : at + DECODED]))
+                size += len(part[-1][1])
+                if size >= DECODED:
+                    self._decode(part, out)
+                    part, size = [], 0
+        if part:
+            self._decode(part, out)
+        return [b"".join(p) for p in out]
+
+    def _decode(self, part: list[tuple[int, np.ndarray]], out: list[list[bytes]]) -> None:
+        lengths = np.array([len(ids) for _, ids in part])
         ids = pa.table(  # noqa: F841
             {
-                "doc": np.repeat(np.arange(len(rows), dtype=np.int32), lengths),
+                "doc": np.repeat(np.arange(len(part), dtype=np.int32), lengths),
                 "pos": np.arange(lengths.sum(), dtype=np.int32),
-                "id": np.concatenate(rows).astype(np.int32),
+                "id": np.concatenate([ids for _, ids in part]).astype(np.int32),
             }
         )
-        for doc, text in self.db.execute(DECODE).fetchall():
-            out[doc] = bytes.fromhex(text)
-        return out
+        for doc, text in sorted(self.db.execute(DECODE).fetchall()):
+            out[part[doc][0]].append(bytes.fromhex(text))
 
 
-_CODECS: dict[str, Codec] = {}
+def ids_digest(ids: np.ndarray) -> str:
+    """Of the decimal ids joined by one space."""
+    h = hashlib.sha256()
+    for at in range(0, len(ids), 1 << 16):
+        part = " ".join(map(str, ids[at : at + (1 << 16)].tolist()))
+        h.update((" " + part if at else part).encode())
+    return h.hexdigest()
 
 
 def codec(path: str) -> Codec:
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+    mine = kept.of(kept.TOKENS)
+    if path not in mine:
+        mine[path] = Codec(path)
+    return mine[path]
 
 
 def encode_decode(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text", real: bool = True) -> DataFrame:
@@ -209,9 +233,7 @@ def encode_decode(docs: DataFrame, path: str | None = None, id: str = "doc_id",
                 out = {
                     "doc_id": batch.column(0).slice(at, len(texts)),
                     "n_tokens": pa.array([len(r) for r in rows], pa.int64()),
-                    "ids_sha256": [
-                        hashlib.sha256(" ".join(map(str, r.tolist())).encode()).hexdigest() for r in rows
-                    ],
+                    "ids_sha256": [ids_digest(r) for r in rows],
                     "decoded_sha256": [hashlib.sha256(d).hexdigest() for d in decoded],
                 }
                 if real:

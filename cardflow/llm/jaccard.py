@@ -99,11 +99,20 @@ class Sets:
     def digest(self, i: int) -> bytes:
         return hashlib.blake2b(self.tokens[self.at[i] : self.at[i + 1]].tobytes(), digest_size=16).digest()
 
-    def signatures(self) -> np.ndarray:
-        """Parity of the tokens in each of `BITS` classes, packed."""
-        place = self.owner * BITS + (self.tokens >> np.uint64(64 - 9)).astype(np.int64)
-        odd = np.bincount(place, minlength=len(self.sizes) * BITS) & 1
-        return np.packbits(odd.reshape(-1, BITS).astype(np.uint8), axis=1)
+    def signatures(self, rows: list[int], step: int = 256) -> Iterator[bytes]:
+        """Parity of the tokens in each of `BITS` classes, packed, for some sets in order, `step` texts at
+        a time."""
+        wanted = np.array(rows, dtype=np.int64)
+        for a in range(0, len(self.sizes), step):
+            b = min(a + step, len(self.sizes))
+            here = wanted[np.searchsorted(wanted, a) : np.searchsorted(wanted, b)] - a
+            if not len(here):
+                continue
+            part = slice(self.at[a], self.at[b])
+            place = (self.owner[part] - a) * BITS + (self.tokens[part] >> np.uint64(64 - 9)).astype(np.int64)
+            odd = np.bincount(place, minlength=(b - a) * BITS) & 1
+            packed = np.packbits(odd.reshape(-1, BITS).astype(np.uint8), axis=1)
+            yield from (packed[i].tobytes() for i in here.tolist())
 
     def wide(self, i: int) -> bytes:
         """The same for one set in `WIDE_BITS` classes."""
@@ -276,7 +285,6 @@ def _listed(docs: DataFrame, k: int, percent: int, frequent, least: int) -> Data
                         digests.append(digest)
                         if len(listed) < 200_000:
                             listed.add(digest)
-                sign = sets.signatures()
                 chosen = np.zeros(len(sets.sizes), dtype=bool)
                 chosen[rows] = True
                 token, owner = token[chosen[owner]], owner[chosen[owner]]
@@ -284,7 +292,7 @@ def _listed(docs: DataFrame, k: int, percent: int, frequent, least: int) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(digests, pa.binary()), pa.array(sets.sizes[chosen].astype(np.int32)),
-                        pa.array([sign[i].tobytes() for i in rows], pa.binary()),
+                        pa.array(list(sets.signatures(rows)), pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(token.view(np.int64))),
                     ],
                     names=["digest", "n", "sign", "tokens"],

@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardflow.llm import kept
 from cardflow.llm.tables import saved
 from cardflow.llm.units import LONGEST, Cache, groups
 
@@ -54,11 +55,9 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-_CACHES: dict[str, Cache] = {}
-
-
 def _cache(path: str) -> Cache:
-    if path not in _CACHES:
+    mine = kept.of(kept.TOKENS)
+    if path not in mine:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -86,8 +85,8 @@ def _cache(path: str) -> Cache:
                 out[i] = np.array(e.ids, dtype="<u4").tobytes()
             return out
 
-        _CACHES[path] = Cache(encode)
-    return _CACHES[path]
+        mine[path] = Cache(encode)
+    return mine[path]
 
 
 def tokenize(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", max_tokens: int = 2048, end_id: int = 1) -> DataFrame:

@@ -45,7 +45,9 @@ SCALE = 2_000_000
 MOST_BITS, BITS_PER_KEY = 28, 64
 #: Fingerprints a task holds before it sums equal ones.
 HELD = 1 << 22
-SLOTS = 256
+#: Parts of a language's candidates that are ranked apart, in rounds; the last round ranks at most
+#: `TOP` rows of each part of the one before.
+SLOTS = (1024, 32, 1)
 
 _PIECE = np.zeros(256, dtype=bool)
 _PIECE[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -400,12 +402,11 @@ def collocations(docs: DataFrame, scratch: Scratch, text: str = "text", lang: st
         F.col("holder").isNull() | (100 * _exact(F.col("holder")) < INSIDE * _exact(F.col("a")))
     )
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
-    slot = F.pmod(F.xxhash64("phrase"), F.lit(SLOTS))
-    first = (
-        kept.withColumn("slot", slot)
-        .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "slot").orderBy(*order)))
-        .where(F.col("rank") <= top)
-        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-        .where(F.col("rank") <= top)
-    )
+    first = kept
+    for slots in SLOTS:
+        by = ["lang"]
+        if slots > 1:
+            first, by = first.withColumn("slot", F.pmod(F.xxhash64("phrase"), F.lit(slots))), ["lang", "slot"]
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        first = first.withColumn("rank", rank).where(F.col("rank") <= top)
     return first.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))

@@ -6,15 +6,19 @@ inside a longer UTF-8 character, so bytes can be split without decoding them.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+from cardflow.llm import kept
+
 SPACES = b" \t\n\x0b\x0c\r"
 CHUNK_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
-_POWERS: list[np.ndarray] = []
+#: Longer words get another hash: polynomials modulo 2^64 of certain long words collide, whatever the base.
+LONG_WORD = 32
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[list(SPACES)] = True
@@ -32,13 +36,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        n = max(n, CHUNK_BYTES + 1)
-        up = np.full(n, _BASE, dtype=np.uint64)
-        down = np.full(n, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
-        up[0] = down[0] = 1
-        _POWERS[:] = [np.cumprod(up), np.cumprod(down)]
-    return _POWERS[0], _POWERS[1]
+    mine = kept.of(kept.WORDS)
+    if "powers" in mine and len(mine["powers"][0]) >= n:
+        return mine["powers"]
+    usual = n <= CHUNK_BYTES + 1
+    n = max(n, CHUNK_BYTES + 1)
+    up = np.full(n, _BASE, dtype=np.uint64)
+    down = np.full(n, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
+    up[0] = down[0] = 1
+    powers = np.cumprod(up), np.cumprod(down)
+    if usual:  # a very long text's are not kept
+        mine["powers"] = powers
+    return powers
 
 
 class Words:
@@ -67,6 +76,9 @@ class Words:
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
         h = (sums[edge_end] - sums[edge_start]) * down[edge_start]
         self.hashes = mix(h + (edge_end - edge_start).astype(np.uint64))
+        for i in np.flatnonzero(edge_end - edge_start > LONG_WORD).tolist():
+            word = self.data[edge_start[i] : edge_end[i]].tobytes()
+            self.hashes[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
     def __len__(self) -> int:
         return len(self.first) - 1

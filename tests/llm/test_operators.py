@@ -493,3 +493,37 @@ def test_boxes_inside_main_and_article(spark):
 
 def test_main_text_of_nothing(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_bpe_of_a_very_long_text():
+    import tiktoken
+
+    rng = random.Random(12)
+    codec = bpe.Codec(bpe.vocabulary_path())
+    text = " ".join(rng.choice(["abc", "de fgh", "Ωμέγα", "x1y2", "don't", "\n\n", "日本語"]) + str(rng.randrange(3000)) for _ in range(2_500_000))
+    assert len(text.encode()) > 25_000_000
+    (ids,) = codec.encode([text])
+    assert codec.decode([ids, ids[:0], ids[:5]]) == [text.encode(), b"", b"".join(codec.decode([ids[:5]]))]
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    assert ids.tolist() == [t for part in library.encode_ordinary_batch([text]) for t in part]
+    few = ids[:200_001]
+    assert bpe.ids_digest(few) == hashlib.sha256(" ".join(map(str, few.tolist())).encode()).hexdigest()
+
+
+def test_long_words_of_one_polynomial_hash(spark):
+    """Thue-Morse words collide in every polynomial hash modulo 2^64."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, a), (2, b), (3, "p q r " + a), (4, "p q r " + b), (5, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.component_ids(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_a_worker_keeps_one_kind():
+    from cardflow.llm import kept
+
+    kept.of(kept.WORDS)
+    kept.of(kept.TOKENS)["x"] = 1
+    assert kept.of(kept.TOKENS) == {"x": 1}
+    assert kept.of(kept.WORDS) == {} and kept.of(kept.TOKENS) == {}

@@ -83,7 +83,7 @@ def test_counts_beyond_64_bits(spark):
 
 def test_small_buffers_change_nothing(spark, table, monkeypatch):
     expected = plain(corpus(), 2, 2000)
-    monkeypatch.setattr(phrases, "SLOTS", 3)
+    monkeypatch.setattr(phrases, "SLOTS", (3, 2, 1))
     with Scratch(spark) as scratch:
         got = [tuple(r) for r in phrases.collocations(table, scratch, least=2).collect()]
     assert sorted(got) == sorted(expected)
