@@ -112,11 +112,11 @@ def test_held_out_documents_and_spans(spark):
             for s in r["spans"]:
                 assert text[s["start"] : s["end"]].lower().startswith(tuple(BAD))
     assert total > 150 and right >= 0.98 * total
-    unseen = spark.createDataFrame([(1, "an blarfung ber"), (2, "an ber con")], "doc_id long, text string")
+    unseen = spark.createDataFrame([(1, "an Blarfen ber"), (2, "an ber con"), (3, "an blarfung ber")], "doc_id long, text string")
     w = toxicity.fit(docs, labels)
     scores = {r["doc_id"]: r for r in toxicity.score(unseen, w).collect()}
-    assert scores[1]["score"] > 0.4 > scores[2]["score"]
-    assert [(s["start"], s["end"]) for s in scores[1]["spans"]] == [(3, 11)]
+    assert scores[1]["score"] > 0.7 > scores[2]["score"] and scores[3]["score"] > 2 * scores[2]["score"]
+    assert [(s["start"], s["end"]) for s in scores[1]["spans"]] == [(3, 10)]
 
 
 def test_labels_are_not_read_from_held_out_rows(spark):
