@@ -16,6 +16,8 @@ not read.
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 MIN_SCORE = 0.6
 CONTEXT_CHARS = 40
 BLOCK = 256
+#: Code points of a block of text from which pieces are cut.
+CUT = 256
 
 
 @dataclass(frozen=True)
@@ -118,9 +122,10 @@ def _confirmed(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _running(lengths: Column) -> Column:
-    """Running totals of an array: appended inside blocks, so that a long array is not copied for
-    each of its entries, then each block is raised by the total of those before it."""
+def _running(lengths: Column, join: Callable[[Column, Column], Column] = operator.add) -> Column:
+    """Running totals of an array (or what `join` makes of them): appended inside blocks, so that a long
+    array is not copied for each of its entries, then each block is joined to the last of those before
+    it."""
     empty = F.array().cast("array<long>")
     last = lambda a: F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0).cast("long"))
     blocks = F.transform(
@@ -128,15 +133,15 @@ def _running(lengths: Column) -> Column:
         lambda b: F.aggregate(
             F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK)),
             empty,
-            lambda acc, x: F.concat(acc, F.array(last(acc) + x)),
+            lambda acc, x: F.concat(acc, F.array(join(last(acc), x))),
         ),
     )
     return F.aggregate(
         blocks,
         F.struct(empty.alias("done"), F.lit(0).cast("long").alias("base")),
         lambda acc, block: F.struct(
-            F.concat(acc["done"], F.transform(block, lambda x: x + acc["base"])).alias("done"),
-            (acc["base"] + last(block)).alias("base"),
+            F.concat(acc["done"], F.transform(block, lambda x: join(x, acc["base"]))).alias("done"),
+            join(acc["base"], last(block)).alias("base"),
         ),
         lambda acc: acc["done"],
     )
@@ -228,27 +233,36 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         "_o",
         F.sort_array(F.transform("spans", lambda s: F.struct(s["start"], (-s["end"]).alias("e"), s["kind"]))),
     )
-    pieces = F.aggregate(
-        "_o",
-        F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(
-                F.concat(
-                    acc["out"],
-                    F.array(
-                        F.substr("_t", (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
-                        F.concat(F.lit("<"), s["kind"], F.lit(">")),
-                    ),
-                ).alias("out"),
-                (-s["e"]).alias("at"),
-            ),
-        ).otherwise(
-            F.struct(acc["out"].alias("out"), F.greatest(acc["at"], -s["e"]).alias("at"))
+    # how far the spans up to each reach; one that starts there or later gives a name
+    df = df.withColumn("_r", _running(F.transform("_o", lambda s: -s["e"]), F.greatest))
+    at = lambda a, i: F.element_at(a, i)
+    df = df.withColumn(
+        "_f",
+        F.filter(
+            F.sequence(F.lit(1), F.greatest(F.size("_o"), F.lit(1))),
+            lambda i: (i == 1) | (at(F.col("_o"), i)["start"] >= at(F.col("_r"), F.greatest(i - 1, F.lit(1)))),
         ),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr("_t", (acc["at"] + 1).cast("int"))),
     )
-    clean = F.when(F.size("spans") > 0, pieces).otherwise(F.col("_t"))
+    # a piece is cut from the few blocks it lies in, not counted off from the text's start
+    blocks = F.regexp_extract_all("_t", F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+    df = df.withColumn("_b", F.when(F.size("spans") > 0, blocks))
+
+    def cut(start: Column, end: Column) -> Column:
+        first = F.floor(start / CUT).cast("int")
+        blocks = F.slice("_b", first + 1, F.floor((end - 1) / CUT).cast("int") - first + 1)
+        return F.when(end <= start, F.lit("")).otherwise(
+            F.substr(F.array_join(blocks, ""), (start % CUT + 1).cast("int"), (end - start).cast("int"))
+        )
+
+    def piece(i: Column, k: Column) -> Column:
+        span = at(F.col("_o"), i)
+        before = F.when(i == 1, F.lit(0).cast("long")).otherwise(at(F.col("_r"), F.greatest(i - 1, F.lit(1))))
+        return F.concat(cut(before, span["start"]), F.lit("<"), span["kind"], F.lit(">"))
+
+    tail = cut(at(F.col("_r"), F.lit(-1)), F.length("_t").cast("long"))
+    clean = F.when(
+        F.size("spans") > 0, F.concat(F.array_join(F.transform("_f", piece), ""), tail)
+    ).otherwise(F.col("_t"))
     return df.withColumn("_c", clean).select(
         *[F.col("_c").alias(c) if c == text else F.col(f"_d.`{c}`").alias(c) for c in docs.columns]
     )

@@ -346,6 +346,32 @@ def test_redaction(spark, docs, no_docs):
     df = spark.createDataFrame([(1, "Mail é a@b.org or 1.2.3.4!"), (2, None), (3, "plain")], "doc_id long, text string")
     assert [r["text"] for r in pii.redact(df).collect()] == ["Mail é <email> or <ip>!", None, "plain"]
     assert pii.redact(docs).columns == docs.columns
+    rng = random.Random(31)
+    parts = ["a@b.co", "1.2.3.4", "+1 (262) 555-3752", "4111 1111 1111 1111", "+4111111111111111", "x@1.2.3.4", "é" * 300, "word ", "\n", "日本", "😀", "1.1.1.1@a.b"]
+    texts = ["".join(rng.choices(parts, k=rng.choice([1, 3, 9, 60]))) for _ in range(60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, text string")
+    found = {r["n"]: r["spans"] for r in pii.find(df).collect()}
+    for r in pii.redact(df).collect():
+        out, at = [], 0
+        t = texts[r["n"]]
+        for s in sorted(found[r["n"]], key=lambda s: (s["start"], -s["end"], s["kind"])):
+            if s["start"] >= at:
+                out += [t[at : s["start"]], f"<{s['kind']}>"]
+            at = max(at, s["end"])
+        assert r["text"] == "".join(out) + t[at:]
+
+
+def test_redaction_of_very_many_spans(spark):
+    """The work grows with the text, not with its square."""
+    import time
+
+    text = " ".join(f"user{i}@mail.example" for i in range(60_000))
+    began = time.time()
+    out = pii.redact(spark.createDataFrame([(text,)], "text string")).first()["text"]
+    assert out == " ".join(["<email>"] * 60_000) and time.time() - began < 90
+
+
+def test_redaction_leaves_other_documents(spark, docs, no_docs):
     assert pii.redact(no_docs).collect() == []
 
 
