@@ -11,7 +11,7 @@ A host with a third of all pages is counted by partial sums and joined by (host,
 gets a host. Pages themselves are never shuffled by host.
 
 Defined results: null or empty html gives an empty text; an unclosed element ends with its parent; an
-unparsable url makes a host of its own; repeated rows have equal results.
+unparsable url makes a host of its own; repeated rows have equal results; a very long page is read whole in one task.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ components are proposed: of a group of near copies those few that the first roun
 The result is one class per document, links are never expanded.
 
 Defined results: a null or empty text has an empty set and is alone; repeated rows are equal sets; a
-null id takes part, and a component's id is its least id that is not null.
+null id takes part, and a component's id is its least id that is not null. A very
+long text is one set, cut into shingles whole in one task.
 """
 
 from __future__ import annotations
@@ -549,7 +550,7 @@ def _classes(docs: DataFrame, id: str, text: str, k: int, percent: int, scratch:
     )
     first = scratch.saved(_narrowed(described, first, percent), "proposed")
     links = scratch.saved(links.union(_verified(texts, described, first, k, percent, scratch)), "links")
-    labels = components(links)
+    labels = components(links, scratch)
 
     long_lists = listed.where(F.col("length") > SHORT_LIST)
     labelled = long_lists.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
@@ -560,7 +561,7 @@ def _classes(docs: DataFrame, id: str, text: str, k: int, percent: int, scratch:
     if not second.isEmpty():
         more = scratch.saved(_verified(texts, described, second, k, percent, scratch), "links")
         if not more.isEmpty():
-            labels = components(links.union(more))
+            labels = components(links.union(more), scratch)
     return described.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select(
         "doc_id", "doc", "n", "digest", F.coalesce("label", "digest").alias("label")
     )

@@ -12,7 +12,7 @@ last sequences of each group stay partly filled.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed each; a piece
 over a limit of its own (more loss-bearing tokens than a sequence may have) gets its own sequence;
-no pieces, no sequences.
+no pieces, no sequences; a very long text is cut into as many pieces as it takes.
 """
 
 from __future__ import annotations

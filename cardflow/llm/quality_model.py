@@ -12,7 +12,8 @@ without a shuffle.
 
 Defined results: a null or empty text has only the indicator of no words; labels other than 0 and 1
 and labels of null ids are not used; of several labels of an id the least counts; with labels of one
-class or none every score is that class's smoothed share.
+class or none every score is that class's smoothed share; a very long text is scored whole, as one
+row of indicators.
 """
 
 from __future__ import annotations

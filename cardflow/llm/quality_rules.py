@@ -4,7 +4,8 @@
 column. Nothing is evaluated outside the JVM and nothing is shuffled.
 
 Defined results: a null or empty text has no words and fails `n_words`; a ratio over no words is 0;
-extra columns are kept, and a measured column replaces an input column of its name.
+extra columns are kept, and a measured column replaces an input column of its name; a very long text is
+measured whole.
 """
 
 from __future__ import annotations

@@ -20,6 +20,7 @@ automata are broadcast, and each document is streamed through all of them.
 
 Defined results: words are compared unchanged; a null or empty text has no words and stays as it is;
 a repeated row is another document, so its windows are repeated; a document's own repetitions count.
+A very long text is handled whole where it is read, its windows like those of many texts elsewhere.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ by ranges of that key and merged in each range by a loser tree, so capture histo
 all ranges. A URL captured very often is split by timestamp and id. Only index rows are shuffled then.
 
 Defined results: null html is an empty payload; a null url is `urn:no-url`; repeated rows of the
-smallest id of a group are each a response; rows without an id never are one if another has an id.
+smallest id of a group are each a response; rows without an id never are one if another has an id; a very long
+payload is one record, and a task holds the archive it is in.
 """
 
 from __future__ import annotations
