@@ -110,7 +110,7 @@ def test_concat(spark, csv):
 
 def full_rows(spark, times):
     return spark.createDataFrame(
-        [(tx, card, t, 12.5, "food", "shop", "F", "1970-03-04") for tx, card, t in times],
+        [(tx, card, t, 12.5, "food", "shop", "F", "1983-11-27") for tx, card, t in times],
         "tx_id string, card_id long, ts string, amount double, category string, merchant string, "
         "gender string, birth_date string",
     ).withColumns(
@@ -127,19 +127,20 @@ def full_rows(spark, times):
 
 
 def test_messages(spark):
-    df = full_rows(
-        spark,
-        [("c", 222, "2020-01-02 00:00:00"), ("b", 111, "2020-01-01 00:00:00"),
-         ("a", 111, "2020-01-01 00:00:00")],
-    )
-    out = messages(df).collect()
-    assert [r["key"] for r in out] == ["111", "111", "222"]
-    values = [json.loads(r["value"]) for r in out]
-    assert [v["id_transaccion"] for v in values] == ["a", "b", "c"]
-    assert list(values[0]) == list(MESSAGE_FIELDS.values())
-    assert values[0]["fecha_nacimiento"] == "1970-03-04T00:00:00"
-    assert values[0]["fecha_hora_transaccion"] == "2020-01-01T00:00:00"
-    assert ": " not in out[0]["value"]
+    """Ordered by time, then id; only the message's fields, under their wire names; times without a
+    zone; nulls stay visible."""
+    times = [("tx-09", 5001, "2018-07-14 23:59:59"), ("tx-10", 40, "2018-07-15 08:30:00")]
+    times += [("tx-02", 5001, "2018-07-15 08:30:00"), ("tx-77", 613, "2018-07-14 06:00:00")]
+    out = messages(full_rows(spark, times).withColumn("merchant", F.lit(None).cast("string"))).collect()
+    bodies = [json.loads(r["value"]) for r in out]
+    assert [(r["key"], b["id_transaccion"]) for r, b in zip(out, bodies)] == [
+        ("613", "tx-77"), ("5001", "tx-09"), ("5001", "tx-02"), ("40", "tx-10"),
+    ]
+    for body in bodies:
+        assert [*body] == [*MESSAGE_FIELDS.values()] and body["comercio"] is None
+        assert body["fecha_nacimiento"] == "1983-11-27T00:00:00"
+    assert bodies[1]["fecha_hora_transaccion"] == "2018-07-14T23:59:59"
+    assert all('": ' not in r["value"] for r in out)
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/Argentina/Buenos_Aires"])
