@@ -73,6 +73,11 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+#: For what follows a tag that does not end before the page does: quotes mean nothing there, so that
+#: no quote without a partner is looked for again and again up to the end.
+PLAIN_TOKEN = re.compile(
+    r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attrs>[^<>]*)>|<[!?/][^<>]*>|(?P<text>[^<]+|<)", re.S | re.I
+)
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PARTS = re.compile(r"[a-z]+")
 
@@ -114,6 +119,16 @@ def _chrome(tag: str, attrs: str, in_main: bool) -> int:
     return found
 
 
+def _tokens(source: str) -> Iterator[re.Match[str]]:
+    at, pattern = 0, TOKEN
+    while m := pattern.match(source, at):
+        if pattern is TOKEN and m["text"] == "<" and source[m.end() : m.end() + 1].isalpha():
+            pattern = PLAIN_TOKEN
+        else:
+            at = m.end()
+            yield m
+
+
 def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, list[int]]], int]:
     """Hashes of the subtrees that may be template, and the blocks: text, whether in a marked
     article, whether in an element that is no article text, and the subtrees it is in."""
@@ -156,7 +171,7 @@ def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, li
             if stack[k].tag in stop:
                 return
 
-    for m in TOKEN.finditer(source):
+    for m in _tokens(source):
         if m["text"] is not None:
             if stack[-1].tag == "head" and m["text"].strip():
                 close()

@@ -553,3 +553,15 @@ def test_a_worker_keeps_one_kind():
     kept.of(kept.TOKENS)["x"] = 1
     assert kept.of(kept.TOKENS) == {"x": 1}
     assert kept.of(kept.WORDS) == {} and kept.of(kept.TOKENS) == {}
+
+
+def test_pages_of_unclosed_quotes_end():
+    import time
+
+    began = time.time()
+    for page in ("<div a='" * 125_000, "<p title=\"x" * 90_000, "<p>kept</p>" + "<a b='" * 50_000, "<script x='" * 90_000):
+        html_text.parse(page)
+    assert time.time() - began < 20
+    blocks = html_text.parse("<article><p>first</p><p a='b>second</p><p>third</p></article>")[1]
+    assert [b[0] for b in blocks] == ["first", "second", "third"]
+    assert [b[0] for b in html_text.parse("<p>1 < 2 and <3</p><p>x</p>")[1]] == ["1 < 2 and <3", "x"]
