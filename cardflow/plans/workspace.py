@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,10 +44,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a table in the shared folder: computed once, and there when an executor is lost."""
     path = new_dir(df.sparkSession, name)
+    scope = getattr(_HERE, "scope", None)
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HERE = threading.local()
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What this thread has `written` in the block is deleted when it ends; for jobs that write their
+    results in the block. Elsewhere results may still read such tables, so they stay."""
+    outer = getattr(_HERE, "scope", None)
+    _HERE.scope = []
+    try:
+        yield
+    finally:
+        for path in _HERE.scope:
+            remove(spark, path)
+        _HERE.scope = outer
+
+
 def _file(spark: SparkSession, path: str):
     """The file system of a path, and the path."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -22,6 +22,7 @@ from cardflow.operators.rowfeatures import row_features
 from cardflow.operators.skew import DEFAULT, UNIFORM, SkewPolicy
 from cardflow.operators.state import card_state, fresh_rows, merge_state, state_rows
 from cardflow.plans.training import score_requests
+from cardflow.plans.workspace import temporary
 from cardflow.schema import HISTORY_FEATURES, MESSAGE_FIELDS, REQUEST_TYPES, RETENTION, WINDOWS
 from cardflow.streaming.state_log import StateLog
 
@@ -73,7 +74,8 @@ class StateJob:
         spark.conf.set(MERGE_CACHED, "true")
         events = parse_messages(messages, self.names, self.scorer is not None).persist()
         try:
-            self._process(spark, events, batch_id)
+            with temporary(spark):
+                self._process(spark, events, batch_id)
         finally:
             events.unpersist()
             spark.conf.set(MERGE_CACHED, before)

@@ -13,7 +13,7 @@ from cardflow.operators.latest import latest_per_key
 from cardflow.operators.skew import SkewPolicy
 from cardflow.operators.state import card_state
 from cardflow.plans.jobs import reset_stream, seed_stream
-from cardflow.plans.workspace import cut_lineage
+from cardflow.plans.workspace import children, cut_lineage, shared_dir
 from cardflow.schema import RETENTION, STATE_SCHEMA
 from cardflow.sources.messages import export_messages, read_message_stream
 from cardflow.streaming.fold import stateful_fold, to_state
@@ -236,6 +236,18 @@ def test_reset(spark, rows, waves, tmp_path):
         assert_states(log.current(spark), brute.states(rows, RETENTION))
 
 
+def test_batches_leave_no_tables_behind(spark, waves, tmp_path):
+    """Neither lists of hot cards nor last seconds of cards stay in the shared folder."""
+    from cardflow.sources.messages import messages
+
+    log = StateLog(str(tmp_path / "states"), buckets=2)
+    log.seed(spark, card_state(waves[0]))
+    job = StateJob(log, features_path=str(tmp_path / "features"), policy=SkewPolicy(hot_rows=5))
+    before = set(children(spark, shared_dir(spark)))
+    job.process(messages(waves[1]).select(F.col("value").cast("binary")), 0)
+    assert set(children(spark, shared_dir(spark))) == before
+
+
 def test_state_table_must_exist(spark, waves, tmp_path):
     job = StateJob(StateLog(str(tmp_path / "none")))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
