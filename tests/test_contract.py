@@ -27,6 +27,9 @@ SLOW = {
     "state_snapshot",
     "training_set",
     "csv_load",
+    "stream_scores",
+    "batch_cards",
+    "stream_small_batches",
 }
 QUICK = sorted(set(contract.SQL) - SLOW)
 
@@ -55,6 +58,7 @@ def test_sql_belongs_to_queries():
     assert set(contract.QUERIES) - set(contract.SQL) == {
         "train_candidates",
         "score_transactions",
+        "linear_steps",
     }
 
 
