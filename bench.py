@@ -5,7 +5,8 @@ faster of two runs counts; rows go to a sink that discards them. At sf0.1 the qu
 run on two million rows (the events, twenty cards for each one) and stream_500k on half a million
 messages, near the sizes of the published baseline. In those named _hot a third of the rows belong
 to one card. stream_10k takes twelve batches of about 10,000 messages, one after the other, into a
-state table of the usual number of splits, once merged; it runs once, without a warm-up of its own.
+state table of the usual number of splits, once merged; it runs once, without a warm-up of its own, and
+is not part of the total.
 """
 
 from __future__ import annotations
@@ -136,7 +137,7 @@ def main() -> None:
     for run in runs.values():
         run()
     seconds = {name: min(timed(run), timed(run)) for name, run in runs.items()}
-    seconds["stream_10k"] = timed(lambda: small_batches(spark, few))
+    small = timed(lambda: small_batches(spark, few))
     spark.stop()
     print(
         json.dumps(
@@ -148,7 +149,7 @@ def main() -> None:
                 "sf": Path(SF_DIR).name.removeprefix("sf"),
                 **sizes,
                 "history_rows_per_s": round(sizes["large_rows"] / seconds["history_2m"]),
-                "stream_10k_batch_s": round(seconds["stream_10k"] / 12, 3),
+                "stream_10k": small,
                 "stream_messages_per_s": round(sizes["stream_rows"] / seconds["stream_500k"]),
             }
         )
