@@ -34,6 +34,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -164,9 +165,8 @@ class Counts:
 
 
 def _described(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, doc (MD5 of the text), n, digest (null for an empty set), the whole set where it is
-    small and the wide signature where it is large. Besides, rows without a doc: token and count of
-    what recurs in a task."""
+    """doc_id, doc (MD5 of the text), n, digest (null for an empty set) and the whole set where it is
+    small. Besides, rows without a doc: token and count of what recurs in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Counts()
@@ -187,10 +187,6 @@ def _described(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     small=pa.ListArray.from_arrays(
                         pa.array(small_ends.astype(np.int32)), pa.array(sets.tokens[little].view(np.int64))
                     ),
-                    wide=pa.array(
-                        [sets.wide(x) if w else None for x, w in enumerate(is_wide(sets.sizes, percent).tolist())],
-                        pa.binary(),
-                    ),
                 )
         token, count = seen.repeated()
         for at in range(0, len(token), 10_000):
@@ -199,7 +195,7 @@ def _described(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     types = {
         "doc_id": pa.int64(), "doc": pa.binary(), "n": pa.int64(), "digest": pa.binary(),
-        "small": pa.list_(pa.int64()), "wide": pa.binary(), "token": pa.int64(), "c": pa.int64(),
+        "small": pa.list_(pa.int64()), "token": pa.int64(), "c": pa.int64(),
     }
 
     def rows(count: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -207,7 +203,7 @@ def _described(docs: DataFrame, k: int, percent: int) -> DataFrame:
             [columns.get(name, pa.nulls(count, t)) for name, t in types.items()], names=list(types)
         )
 
-    schema = "doc_id long, doc binary, n long, digest binary, small array<long>, wide binary, token long, c long"
+    schema = "doc_id long, doc binary, n long, digest binary, small array<long>, token long, c long"
     return docs.mapInArrow(run, schema)
 
 
@@ -264,13 +260,14 @@ def _frequent(found: DataFrame) -> dict[str, bitmaps.Bitmap]:
     return bitmaps.build(counted.where(F.col("c") >= FREQUENT), "token", {"frequent": F.lit(True)})
 
 
-_LISTED = "digest binary, n int, sign binary, tokens array<long>"
-_ENTRY = "token long, digest binary, n int, sign binary"
+_LISTED = "digest binary, n int, sign binary, wide binary, tokens array<long>"
+_ENTRY = "token long, digest binary, n int, sign binary, long boolean"
 
 
 def _listed(docs: DataFrame, k: int, percent: int, frequent, least: int) -> DataFrame:
-    """The sets of at least `least` shingles, with the whole prefix in the order that the lists use. A
-    task lists equal sets once, so of many copies few rows are left."""
+    """The sets of at least `least` shingles, with the whole prefix in the order that the lists use and,
+    where they are large, the wide signature. A task lists equal sets once, so of many copies few rows
+    are left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed: set[bytes] = set()
@@ -288,23 +285,26 @@ def _listed(docs: DataFrame, k: int, percent: int, frequent, least: int) -> Data
                             listed.add(digest)
                 chosen = np.zeros(len(sets.sizes), dtype=bool)
                 chosen[rows] = True
+                wide = is_wide(sets.sizes, percent)
                 token, owner = token[chosen[owner]], owner[chosen[owner]]
                 ends = np.append(np.searchsorted(owner, rows), len(owner)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(digests, pa.binary()), pa.array(sets.sizes[chosen].astype(np.int32)),
                         pa.array(list(sets.signatures(rows)), pa.binary()),
+                        pa.array([sets.wide(i) if wide[i] else None for i in rows], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(token.view(np.int64))),
                     ],
-                    names=["digest", "n", "sign", "tokens"],
+                    names=["digest", "n", "sign", "wide", "tokens"],
                 )
 
     return docs.mapInArrow(run, _LISTED)
 
 
-def _entries(listed: DataFrame, shared) -> DataFrame:
+def _entries(listed: DataFrame, shared, long) -> DataFrame:
     """The inverted lists' rows. `shared` holds the tokens of more than one row of `listed`, counted in
-    the same prefixes: what it leaves out has no partner."""
+    the same prefixes: what it leaves out has no partner. `long` holds those of long lists; what it
+    leaves out is in none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,12 +312,16 @@ def _entries(listed: DataFrame, shared) -> DataFrame:
             row = np.repeat(np.arange(batch.num_rows), tokens.value_lengths().to_numpy())
             token = tokens.flatten().to_numpy()
             take = bitmaps.contains(shared.value, token.view(np.uint64))
-            row = pa.array(row[take])
+            row, token = pa.array(row[take]), token[take]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token[take]), *[batch.column(c).take(row) for c in range(3)]], names=["token", "digest", "n", "sign"]
-            )
+                [
+                    pa.array(token), *[batch.column(c).take(row) for c in range(3)],
+                    pa.array(bitmaps.contains(long.value, token.view(np.uint64)), pa.bool_()),
+                ],
+                names=["token", "digest", "n", "sign", "long"],
+            )
 
-    return listed.mapInArrow(run, _ENTRY)
+    return listed.select("digest", "n", "sign", "tokens").mapInArrow(run, _ENTRY)
 
 
 def _passing(
@@ -329,6 +333,34 @@ def _passing(
     return (differ <= both - 2 * least) & (least <= np.minimum(n[i, None], n[None, j])), differ
 
 
+def _short_pairs(lists: pa.RecordBatch, lengths: np.ndarray, percent: int) -> pa.RecordBatch:
+    """All pairs that pass, of consecutive short lists of these lengths: at each distance the rows so far
+    apart in a list are compared at once, so what is held grows with the rows, not with the pairs."""
+    coded = lists.column("digest").dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    code = rank[coded.indices.to_numpy()]
+    n = lists.column("n").to_numpy().astype(np.int64)
+    sign = np.frombuffer(b"".join(lists.column("sign").to_pylist()), dtype=np.uint64).reshape(len(n), -1)
+    following = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(n))
+    found = [np.zeros(0, np.int64)]
+    for distance in range(1, int(lengths.max(initial=0))):
+        i = np.flatnonzero(following > distance)
+        j = i + distance
+        both, least = n[i] + n[j], need(n[i], n[j], percent)
+        may = np.flatnonzero((least <= np.minimum(n[i], n[j])) & (code[i] != code[j]))
+        i, j, most = i[may], j[may], (both - 2 * least)[may]
+        near = np.bitwise_count(sign[i] ^ sign[j]).sum(axis=1, dtype=np.int32) <= most
+        x, y = code[i[near]], code[j[near]]
+        found.append(np.minimum(x, y) * len(order) + np.maximum(x, y))
+    pairs = np.unique(np.concatenate(found))
+    digests = coded.dictionary.take(order)
+    return pa.RecordBatch.from_arrays(
+        [digests.take(pa.array(pairs // max(len(order), 1))), digests.take(pa.array(pairs % max(len(order), 1)))], names=["a", "b"]
+    )
+
+
 def _block_pairs(labelled: DataFrame) -> DataFrame:
     """Lists with `comp`, the set's component, dealt into pairs of blocks of about `BLOCK` rows: each block
     of the main component with each of the others, and each two of the others. So each pair of sets
@@ -400,6 +432,8 @@ def _proposed(rows: DataFrame, percent: int, second: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
+            if not batch.num_rows:
+                continue
             # lists end inside batches: the last one waits for the next batch
             key = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
             cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
@@ -412,15 +446,14 @@ def _proposed(rows: DataFrame, percent: int, second: bool) -> DataFrame:
             if len(cuts):
                 held.append(batch.slice(0, int(cuts[0])))
                 yield from finish(held)
-                done = [batch.slice(int(a), int(b - a)) for a, b in zip(cuts[:-1], cuts[1:])]
-                yield from finish_many(done)
+                yield from whole(batch.slice(int(cuts[0]), int(cuts[-1] - cuts[0])), cuts - cuts[0])
                 held = [batch.slice(int(cuts[-1]))]
             else:
                 held.append(batch)
         if held:
             yield from finish(held)
 
-    def one(table: pa.Table) -> set:
+    def one(table: pa.RecordBatch) -> set:
         if table.num_rows < 2:
             return set()
         sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), dtype=np.uint64).reshape(table.num_rows, -1)
@@ -428,12 +461,18 @@ def _proposed(rows: DataFrame, percent: int, second: bool) -> DataFrame:
         return pairs(as_bytes("digest"), table.column("n").to_numpy().astype(np.int64), sign, as_bytes("comp"), table.column("side").to_numpy())
 
     def finish(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _pair_batch(one(pa.Table.from_batches(held)))
-
-    def finish_many(lists: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield from whole(table, np.array([0, table.num_rows]))
+
+    def whole(table: pa.RecordBatch, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Pairs of the lists between these edges."""
+        lengths = np.diff(edges)
+        brief = (lengths <= SHORT_LIST) & (not second)
+        if (lengths[brief] > 1).any():
+            yield _short_pairs(table.filter(pa.array(np.repeat(brief, lengths))), lengths[brief], percent)
         found: set = set()
-        for part in lists:
-            found |= one(pa.Table.from_batches([part]))
+        for k in np.flatnonzero(~brief).tolist():
+            found |= one(table.slice(int(edges[k]), int(lengths[k])))
         yield from _pair_batch(found)
 
     dealt = (
@@ -450,9 +489,9 @@ def _pair_batch(found: set) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
-def _narrowed(described: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _narrowed(chosen: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs that the wide signatures of large sets let pass."""
-    wide = described.where(F.col("wide").isNotNull()).groupBy("digest").agg(F.first("wide").alias("w"), F.first("n").alias("n"))
+    wide = chosen.where(F.col("wide").isNotNull()).select("digest", F.col("wide").alias("w"), "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -533,31 +572,31 @@ def _classes(docs: DataFrame, id: str, text: str, k: int, percent: int, scratch:
     links = scratch.saved(_light_links(described, percent, below), "light-links")
 
     maps = _frequent(found)
-    chosen = scratch.saved(_listed(texts, k, percent, maps["frequent"], least_size(below, percent)), "listed")
+    chosen = _listed(texts, k, percent, maps["frequent"], least_size(below, percent)).dropDuplicates(["digest"])
+    chosen = scratch.saved(chosen, "listed")
     bitmaps.drop(maps)
     lengths = chosen.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("length"))
     lengths = scratch.saved(lengths.where("length > 1"), "lengths")
-    maps = bitmaps.build(lengths, "token", {"shared": F.lit(True)})
-    entries = scratch.saved(_entries(chosen, maps["shared"]), "lists")
+    is_long = F.col("length") > SHORT_LIST
+    maps = bitmaps.build(lengths, "token", {"shared": F.lit(True), "long": is_long})
+    entries = _entries(chosen, maps["shared"], maps["long"])
+    # only rows of long lists meet the lengths; without one they were taken for long by a false member
+    long_lists = scratch.saved(entries.where("long").drop("long").join(lengths.where(is_long), "token", "left"), "lists")
+    parts = F.coalesce(F.ceil(F.col("length") / BLOCK), F.lit(1))
+    part = F.pmod(F.xxhash64("digest", "token"), parts).cast("int").alias("part")
+    row = ["digest", "n", "sign", F.col("digest").alias("comp"), F.lit(0).alias("side")]
+    short = entries.where(~F.col("long")).select("token", F.lit(0).alias("part"), *row)
+    first = _proposed(short.union(long_lists.select("token", part, *row)), percent, second=False)
+    first = scratch.saved(_narrowed(chosen, first, percent), "proposed")
     bitmaps.drop(maps)
-    parts = F.ceil(F.col("length") / BLOCK).cast("int")
-    listed = entries.join(lengths.withColumn("parts", parts), "token")
-    part = F.pmod(F.xxhash64("digest", "token"), F.col("parts")).cast("int")
-    first = _proposed(
-        listed.select("token", part.alias("part"), "digest", "n", "sign", F.col("digest").alias("comp"), F.lit(0).alias("side")),
-        percent,
-        second=False,
-    )
-    first = scratch.saved(_narrowed(described, first, percent), "proposed")
     links = scratch.saved(links.union(_verified(texts, described, first, k, percent, scratch)), "links")
     labels = components(links, scratch)
 
-    long_lists = listed.where(F.col("length") > SHORT_LIST)
-    labelled = long_lists.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
+    labelled = long_lists.where(is_long).join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
         "comp", F.coalesce("label", "digest")
     )
     second = _proposed(_block_pairs(labelled), percent, second=True).join(first, ["a", "b"], "left_anti")
-    second = scratch.saved(_narrowed(described, second, percent), "proposed")
+    second = scratch.saved(_narrowed(chosen, second, percent), "proposed")
     if not second.isEmpty():
         more = scratch.saved(_verified(texts, described, second, k, percent, scratch), "links")
         if not more.isEmpty():
