@@ -7,6 +7,10 @@ adverts, forms and reader comments go by tag, role or class, and where a page ma
 that is taken. Inside an article only boxes of short texts that are on nearly all pages of the host
 are template: a passage that many articles quote stays. What holds a marked article is never template.
 
+A class or id inside an article is no proof, since authors name parts of their text like that too. What
+it names goes if it recurs on the host as any subtree may, or if it is a box of short texts beside
+other text of the article; a fieldset outside forms is judged alike.
+
 A host with a third of all pages is counted by partial sums and joined by (host, subtree), so no task
 gets a host. Pages themselves are never shuffled by host.
 
@@ -88,12 +92,13 @@ SCHEMA = (
 
 
 class _Element:
-    __slots__ = ("tag", "main", "chrome", "within", "spot", "parts", "article")
+    __slots__ = ("tag", "main", "chrome", "within", "spot", "parts", "article", "doubts")
 
     def __init__(self, tag: str, main: int, chrome: int, within: list[int], spot: int | None):
         self.tag, self.main, self.chrome = tag, main, chrome
         self.within, self.spot, self.parts = within, spot, []
         self.article = False
+        self.doubts: tuple[int, ...] = ()
 
 
 def _chrome(tag: str, attrs: str, in_main: bool) -> int:
@@ -135,8 +140,10 @@ def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, li
     root = _Element("", 0, 0, [], None)
     stack = [root]
     spots: list[bytes] = []
-    blocks: list[tuple[str, int, int, list[int]]] = []
+    blocks: list[tuple[str, int, int, list[int], tuple[int, ...]]] = []
     text: list[str] = []
+    #: for each element that only its name speaks against: whether it is a box of short texts
+    short: list[bool] = []
     has_main = 0
     held: set[int] = set()
     boxes: set[int] = set()
@@ -148,9 +155,11 @@ def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, li
             if words:
                 top = next(e for e in reversed(stack) if e.tag not in INLINE)
                 top.parts.append(words)
-                if boxes and words.count(" ") >= BOX_WORDS:
+                if words.count(" ") >= BOX_WORDS:
                     held.update(boxes.intersection(stack[-1].within))
-                blocks.append((words, stack[-1].main, stack[-1].chrome, stack[-1].within))
+                    for d in stack[-1].doubts:
+                        short[d] = False
+                blocks.append((words, stack[-1].main, stack[-1].chrome, stack[-1].within, stack[-1].doubts))
 
     def close() -> None:
         e = stack.pop()
@@ -202,7 +211,9 @@ def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, li
         if m["attrs"].endswith("/"):
             continue
         up = stack[-1]
-        chrome = max(up.chrome, _chrome(tag, m["attrs"], up.main > 0))
+        found = _chrome(tag, m["attrs"], up.main > 0)
+        doubtful = up.article and tag not in INLINE and (tag == "fieldset" or (found == 1 and tag != "form"))
+        chrome = max(up.chrome, 0 if doubtful else found)
         main = up.main
         if not main and chrome < 2:
             if tag in ("article", "main") or re.search(r"role\s*=\s*[\"']?main\b", m["attrs"]):
@@ -214,20 +225,26 @@ def parse(source: str) -> tuple[list[bytes | None], list[tuple[str, int, int, li
         has_main = max(has_main, main)
         spot, within = None, up.within
         is_mark = (main and not up.main) or (article and not up.article)
-        if tag not in INLINE and not is_mark and tag not in ("html", "body") and (not article or tag in BOX_TAGS):
-            if article:
+        if tag not in INLINE and not is_mark and tag not in ("html", "body") and (not article or doubtful or tag in BOX_TAGS):
+            if article and not doubtful:
                 boxes.add(len(spots))
             spot = len(spots)
             spots.append(b"")
             within = [*within, spot]
         stack.append(_Element(tag, main, chrome, within, spot))
-        stack[-1].article = article
+        stack[-1].article, stack[-1].doubts = article, up.doubts
+        if doubtful:
+            stack[-1].doubts += (len(short),)
+            short.append(tag in BOX_TAGS or tag == "fieldset")
     flush()
     while len(stack) > 1:
         close()
+    # boxes of short texts go, but not all that an article has
+    if any(main == has_main and not chrome and not any(short[d] for d in doubts) for _, main, chrome, _, doubts in blocks):
+        blocks = [(t, main, max(chrome, *(short[d] for d in doubts), 0), within, ()) for t, main, chrome, within, doubts in blocks]
     # what holds a marked article is no template
-    blocks = [(words, main, chrome, [w for w in within if w not in held]) for words, main, chrome, within in blocks]
-    return [None if i in held else d for i, d in enumerate(spots)], blocks, has_main
+    out = [(t, main, int(chrome), [w for w in within if w not in held]) for t, main, chrome, within, _ in blocks]
+    return [None if i in held else d for i, d in enumerate(spots)], out, has_main
 
 
 def _host(url: str | None) -> str:

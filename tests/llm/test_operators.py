@@ -555,6 +555,45 @@ def test_a_worker_keeps_one_kind():
     assert kept.of(kept.WORDS) == {} and kept.of(kept.TOKENS) == {}
 
 
+@pytest.mark.parametrize(
+    "box",
+    ["div class='long-form'", "div class='elementor-widget elementor-widget-text-editor'", "section id='cookies'", "fieldset", "p class='notice'"],
+)
+@pytest.mark.parametrize("length", [5, 80])
+def test_names_do_not_delete_an_article(box, length):
+    words = " ".join(f"w{i}" for i in range(length))
+    end = box.split()[0]
+    page = f"<body><nav>menu</nav><article><{box}>{words}</{end}></article><footer>end</footer></body>"
+    assert [t for t, _ in html_text.candidates(page)[1]] == [words]
+
+
+def test_named_parts_of_an_article():
+    words = " ".join(f"w{i}" for i in range(80))
+
+    def kept(inner):
+        return [t for t, _ in html_text.candidates(f"<article><p>first</p>{inner}<p>last</p></article>")[1]]
+
+    for box in ("<div class='advert'>buy this</div>", "<ul class='share'><li>here<li>there</ul>", "<fieldset>choose one</fieldset>"):
+        assert kept(box) == ["first", "last"]
+    assert kept(f"<div class='widget'><p>{words}</p><div class='share'>here</div></div>") == ["first", words, "last"]
+    assert kept("<h2 class='section-menu'>dishes</h2><p class='important-notice'>read</p>") == ["first", "dishes", "read", "last"]
+    assert kept(f"<form><fieldset>{words}</fieldset></form><div class='comments'>{words}</div>") == ["first", "last"]
+
+
+def test_named_parts_that_recur_are_template(spark):
+    notice = " ".join(f"n{i}" for i in range(60))
+    rows = [
+        (i, f"http://h{i % 2}/{i}", f"<article><p>own text {i}</p>{box}<div class='widget'><p>{' '.join(f'x{i}y{j}' for j in range(40))}</p></div></article>")
+        for i in range(24)
+        for box in [f"<div class='cookie-notice'><p>{notice}</p></div><p class='promo'>join us</p>" if i % 2 else f"<p class='promo'>offer {i}</p>"]
+    ]
+    out = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    for r in out:
+        i = r["page_id"]
+        own = [f"own text {i}", *([] if i % 2 else [f"offer {i}"]), " ".join(f"x{i}y{j}" for j in range(40))]
+        assert r["text"].split("\n") == own
+
+
 def test_pages_of_unclosed_quotes_end():
     import time
 
