@@ -34,7 +34,9 @@ from cardflow.llm.tables import partitions, saved
 from cardflow.plans.workspace import new_dir
 
 MIN_BYTES = 100
+#: An archive holds at most so many records and, unless one record alone is longer, bytes.
 MAX_RECORDS = 50_000
+MAX_BYTES = 128 << 20
 LEVEL = 4
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -105,8 +107,8 @@ def record(page_id: int | None, url: str | None, date: str, payload: bytes, dige
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def write(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", source: str = "html", date: str | None = None, max_records: int = MAX_RECORDS) -> None:
-    """Archives of all pages under `path`."""
+def write(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", source: str = "html", date: str | None = None, max_records: int = MAX_RECORDS, max_bytes: int = MAX_BYTES) -> None:
+    """Archives of all pages under `path`: a task begins another `part` where one would grow too long."""
     rows = decisions(
         pages.select(
             F.col(id).cast("long").alias("page_id"),
@@ -117,6 +119,7 @@ def write(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", so
     ).select("page_id", "url", "date", "payload", "digest", "first_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = records = size = 0
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 columns = batch.slice(at, 500).to_pydict()
@@ -124,13 +127,20 @@ def write(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", so
                     _member(record(i, u, d or DATE, p, h, f))
                     for i, u, d, p, h, f in zip(*(columns[c] for c in ("page_id", "url", "date", "payload", "digest", "first_id")))
                 ]
-                yield pa.RecordBatch.from_pydict({"value": pa.array(made, pa.binary())})
+                parts = []
+                for member in made:
+                    length = len(member) + 1
+                    if records and (records == max_records or size + length > max_bytes):
+                        part, records, size = part + 1, 0, 0
+                    records, size = records + 1, size + length
+                    parts.append(part)
+                yield pa.RecordBatch.from_pydict({"value": pa.array(made, pa.binary()), "part": pa.array(parts, pa.int32())})
 
     (
-        rows.mapInArrow(run, "value binary")
-        .select(F.col("value").cast("string"))
+        rows.mapInArrow(run, "value binary, part int")
+        .select(F.col("value").cast("string"), "part")
         .write.option("lineSep", "\0")
-        .option("maxRecordsPerFile", max_records)
+        .partitionBy("part")
         .text(path)
     )
 
@@ -252,7 +262,7 @@ def runs(spark: SparkSession, path: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column(0), batch.column(1)):
-                found = sorted(captures(data.as_py(), name.as_py().rsplit("/", 1)[-1]), key=_order)
+                found = sorted(captures(data.as_py(), "/".join(name.as_py().split("/")[-2:])), key=_order)
                 yield from _batches(iter(found), _SCHEMA)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardflow.llm import bpe, html_text, jaccard, packing, pii, pivots, quality_model, quality_rules, substrings, warc
+from cardflow.plans.workspace import new_dir
 from tests.llm import plain
 
 P = pytest.importorskip("public_tokenizers")
@@ -185,6 +186,24 @@ def test_warc_nothing(spark):
     assert warc.archive(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+@pytest.mark.parametrize("limits", [{"max_bytes": 4000}, {"max_records": 3}])
+def test_archives_are_bounded(spark, limits):
+    rng = random.Random(8)
+    rows = [(i, f"http://a.b/{i}", "".join(rng.choices("abcdefghijklmnop", k=9000 if i == 7 else 1500))) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    path = new_dir(spark, "warc")
+    warc.write(pages, path, **limits)
+    index = warc.runs(spark, path).collect()
+    assert sorted(r["page_id"] for r in index) == list(range(60))
+    archives = {}
+    for r in index:
+        archives.setdefault(r["run"], []).append(r)
+    assert len(archives) == spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0").count()
+    for found in archives.values():
+        assert len({r["start"] for r in found}) == len(found) <= limits.get("max_records", 60)
+        assert len(found) == 1 or sum(r["length"] + 1 for r in found) <= limits.get("max_bytes", 1 << 20)
+
+
 def test_loser_tree():
     rng = random.Random(9)
     for k in (1, 2, 3, 7, 8):
