@@ -83,18 +83,50 @@ def export_messages(
     kept = "parquet" if path is None else fmt
     extra = {} if path is None else dict(options or {})
     out.write.format(kept).options(**extra).partitionBy("_part").save(staged)
-    parts = sorted(int(n.split("=")[1]) for n in children(spark, staged) if n.startswith("_part="))
-    for part in parts:
+    if path is not None:
+        _place(spark, staged, path)
+        return
+    for part in _part_numbers(spark, staged):
+        rows = spark.read.schema(FILE_SCHEMA).parquet(f"{staged}/_part={part}")
+        _save(rows, None, fmt, options, ordered=True)
+    remove(spark, staged)
+
+
+def export_parts(tx: DataFrame, path: str, part: str) -> None:
+    """Writes the messages as one JSON file for each value of the whole number `part`, and puts the
+    files in place in the order of those numbers. `tx` is read once, however many parts there are.
+
+    Inside a file each card's messages are in order of (ts, tx_id); the caller sees to it that a later
+    part holds nothing earlier of a card. One task sorts and writes a part.
+    """
+    spark, staged = tx.sparkSession, new_dir(tx.sparkSession, "parts")
+    (
+        tx.select(*MESSAGE_FIELDS, F.col(part).alias("_part"))
+        .repartition("_part")
+        .sortWithinPartitions("_part", "card_id", "ts", "tx_id")
+        .select(
+            message_key().alias("key"), message_value(names=MESSAGE_FIELDS).alias("value"), "_part"
+        )
+        .write.partitionBy("_part")
+        .json(staged)
+    )
+    _place(spark, staged, path)
+
+
+def _place(spark: SparkSession, staged: str, path: str) -> None:
+    """Moves the files of `staged` to `path`, part after part, with later names and times."""
+    for part in _part_numbers(spark, staged):
         folder = f"{staged}/_part={part}"
-        if path is None:
-            _save(spark.read.schema(FILE_SCHEMA).parquet(folder), None, fmt, options, ordered=True)
-        else:
-            names = [n for n in children(spark, folder) if not n.startswith((".", "_"))]
-            targets = [f"{path}/part-{part:06d}-{n}" for n in names]
-            move_in_order(spark, [f"{folder}/{n}" for n in names], targets)
+        names = [n for n in children(spark, folder) if not n.startswith((".", "_"))]
+        targets = [f"{path}/part-{part:06d}-{n}" for n in names]
+        move_in_order(spark, [f"{folder}/{n}" for n in names], targets)
     remove(spark, staged)
 
 
+def _part_numbers(spark: SparkSession, staged: str) -> list[int]:
+    return sorted(int(n.split("=")[1]) for n in children(spark, staged) if n.startswith("_part="))
+
+
 def _save(
     out: DataFrame, path: str | None, fmt: str, options: Mapping[str, str] | None, ordered: bool = False
 ) -> None:

@@ -33,7 +33,12 @@ from cardflow.plans import training
 from cardflow.plans.workspace import cut_lineage, new_dir
 from cardflow.schema import HISTORY_FEATURES, RAW_COLUMNS, RAW_INDEX
 from cardflow.sources.csv import read_raw
-from cardflow.sources.messages import export_messages, messages, read_message_stream
+from cardflow.sources.messages import (
+    export_messages,
+    export_parts,
+    messages,
+    read_message_stream,
+)
 from cardflow.sources.tables import (
     read_features,
     read_state_snapshot,
@@ -495,14 +500,11 @@ def stream_small_batches(spark: SparkSession, sf: str) -> DataFrame:
     first, *rest = _event_waves(spark, sf)
     log.seed(spark, card_state(first))
     tx = rest[0].unionByName(rest[1])
-    part = F.pmod(F.xxhash64("card_id"), F.lit(4))
-    edges = tx.agg(F.percentile_approx(F.unix_timestamp("ts"), [0.2, 0.4, 0.6, 0.8]).alias("t"))
-    cuts = [-(1 << 62), *edges.first()["t"], 1 << 62]
-    for low, high in zip(cuts[:-1], cuts[1:]):
-        now = F.unix_timestamp("ts")
-        wave = tx.where((now > low) & (now <= high))
-        for i in range(4):
-            export_messages(wave.where(part == i), f"{base}/inbox")
+    now = F.unix_timestamp("ts")
+    cuts = tx.agg(F.percentile_approx(now, [0.2, 0.4, 0.6, 0.8]).alias("t")).first()["t"]
+    wave = sum([(now > cut).cast("int") for cut in cuts], F.lit(0))
+    part = wave * 4 + F.pmod(F.xxhash64("card_id"), F.lit(4)).cast("int")
+    export_parts(tx.withColumn("part", part), f"{base}/inbox", "part")
     job = StateJob(log, audit_path=f"{base}/audit")
     source = read_message_stream(spark, path=f"{base}/inbox", max_files=1)
     start(source, job, f"{base}/offsets", drain=True).awaitTermination()

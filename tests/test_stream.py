@@ -15,10 +15,11 @@ from cardflow.operators.state import card_state
 from cardflow.plans.jobs import reset_stream, seed_stream
 from cardflow.plans.workspace import children, cut_lineage, shared_dir
 from cardflow.schema import RETENTION, STATE_SCHEMA
-from cardflow.sources.messages import export_messages, read_message_stream
+from cardflow.sources.messages import export_messages, export_parts, read_message_stream
 from cardflow.streaming.fold import stateful_fold, to_state
 from cardflow.streaming.job import StateJob, read_batches, start
 from cardflow.streaming.state_log import StateLog
+from contract import queries
 from tests import brute
 from tests.test_state import assert_states
 
@@ -282,3 +283,41 @@ def test_state_store_fold(spark, rows, waves, tmp_path):
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     newest = latest_per_key(spark.read.parquet(f"{base}/out"), "card_id", "batch_id", "last_tx_id")
     assert_states(to_state(newest), brute.states(rows, RETENTION))
+
+
+def test_one_file_a_part_in_order(spark, waves, tmp_path):
+    inbox = str(tmp_path / "inbox")
+    rows = waves[1].withColumn("part", (F.col("epoch_s") / 40_000).cast("int") * 2 + F.col("card_id") % 2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        export_parts(rows.repartition(3), inbox, "part")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    expected = [r["part"] for r in rows.select("part").distinct().orderBy("part").collect()]
+    files = sorted((tmp_path / "inbox").glob("part-*.json"), key=lambda f: f.stat().st_mtime_ns)
+    assert [int(f.name.split("-")[1]) for f in files] == expected and len(expected) > 3
+    found = [json.loads(json.loads(line)["value"]) for f in files for line in f.open()]
+    assert len(found) == rows.count()
+    for card in {m["numero_tarjeta"] for m in found}:
+        mine = [(m["fecha_hora_transaccion"], m["id_transaccion"]) for m in found if m["numero_tarjeta"] == card]
+        assert mine == sorted(mine)
+
+
+def test_small_batches_are_twenty_files(spark, monkeypatch):
+    """However many tasks an export has."""
+
+    class Exported(Exception):
+        pass
+
+    def stop(source, job, *args, **options):
+        raise Exported(job.log.path)
+
+    monkeypatch.setattr(queries, "start", stop)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with pytest.raises(Exported) as found:
+            queries.stream_small_batches(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    inbox = str(found.value).removesuffix("/states") + "/inbox"
+    assert len([n for n in children(spark, inbox) if not n.startswith((".", "_"))]) == 20
