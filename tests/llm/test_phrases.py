@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -89,6 +90,31 @@ def test_small_buffers_change_nothing(spark, table, monkeypatch):
     assert sorted(got) == sorted(expected)
 
 
+def test_a_task_makes_one_row_a_key(spark, monkeypatch):
+    """However often it combines what it holds; `HELD` as it counts in the workers."""
+    docs = spark.createDataFrame([("ab cd ef gh", "en", 1)] * 400, "lang2 string, lang string, pointer long")
+    texts = docs.selectExpr("lang", "lang2 as text", "pointer").coalesce(1)
+    made = []
+    monkeypatch.setattr(phrases, "HELD", 600)
+    monkeypatch.setattr(phrases, "_grams", lambda batch, powers, bits, grams=phrases._grams: (
+        g for k in range(len(batch)) for g in grams(batch.slice(k, 1), powers, bits)))
+    monkeypatch.setattr(phrases, "_open", lambda b: b)
+    monkeypatch.setattr(phrases.bitmaps, "contains", lambda b, keys: np.ones(len(keys), dtype=bool))
+
+    class Texts:
+        def mapInArrow(self, run, schema):
+            batches = [pa.RecordBatch.from_pandas(texts.toPandas(), preserve_index=False)] * 3
+            # the pointer belongs to a row, which is alone in its slice
+            for out in run(iter(batches)):
+                made.extend(out.to_pylist())
+            raise StopIteration
+
+    with pytest.raises(StopIteration):
+        phrases._pointers(Texts(), [None, None, None], 64)
+    assert len(made) == 10 and sorted(r["count"] for r in made) == [1200] * 10
+    assert all(r["least"] == r["greatest"] for r in made)
+
+
 def test_nothing(spark):
     empty = spark.createDataFrame([], "text string, lang string")
     with Scratch(spark) as scratch:
