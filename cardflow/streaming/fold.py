@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +31,8 @@ KEPT_SCHEMA = T.StructType(
     ]
 )
 CHANGED_SCHEMA = T.StructType([T.StructField("card_id", T.LongType()), *KEPT_SCHEMA.fields])
+CHANGED = CHANGED_SCHEMA.fieldNames()
+EVENT_ORDER = ["epoch_s", "tx_id", "amount", "category", "merch_lat", "merch_lon"]
 
 
 def stateful_fold(events: DataFrame, retention: int = RETENTION) -> DataFrame:
@@ -44,53 +45,39 @@ def stateful_fold(events: DataFrame, retention: int = RETENTION) -> DataFrame:
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         old = state.get if state.exists else None
-        rows = pd.concat(list(frames)).sort_values(
-            ["epoch_s", "tx_id", "amount", "category", "merch_lat", "merch_lon"]
-        )
-        rows = rows.drop_duplicates(["epoch_s", "tx_id"])
-        if old is not None:
-            last_epoch, last_id = old[6], old[7]
-            later = (rows["epoch_s"] > last_epoch) | (
-                (rows["epoch_s"] == last_epoch) & (rows["tx_id"] > last_id)
-            )
-            rows = rows[later]
-        if rows.empty:
-            return
+        last = (old[6], old[7]) if old is not None else None
+        # In plain values: a frame for each card and step would cost more than all of its rows.
+        rows = sorted(row for f in frames for row in zip(*[f[c].tolist() for c in EVENT_ORDER]))
         n, total, categories, epochs, counts, amounts = (
             old[:6] if old is not None else (0, 0.0, [], [], [], [])
         )
-        end = rows.iloc[-1]
-        seconds = pd.concat(
-            [
-                pd.DataFrame(
-                    {
-                        "epoch_s": np.asarray(epochs, "int64"),
-                        "n": np.asarray(counts, "int64"),
-                        "amount": np.asarray(amounts, "float64"),
-                    }
-                ),
-                rows[["epoch_s", "amount"]].assign(n=1),
-            ]
-        )
-        seconds = (
-            seconds[seconds["epoch_s"] >= end["epoch_s"] - retention]
-            .groupby("epoch_s", as_index=False)
-            .agg({"n": "sum", "amount": "sum"})
-        )
+        seconds = {e: (k, a) for e, k, a in zip(epochs, counts, amounts)}
+        seen, added, here = set(categories), 0.0, last
+        for epoch, tx_id, amount, category, lat, lon in rows:
+            if here is not None and (epoch, tx_id) <= here:
+                continue
+            here, end = (epoch, tx_id), (lat, lon)
+            k, a = seconds.get(epoch, (0, 0.0))
+            seconds[epoch] = k + 1, a + amount
+            n, added = n + 1, added + amount
+            seen.add(category)
+        if here == last:
+            return
+        recent = [e for e in seconds if e >= here[0] - retention]
         new = (
-            int(n) + len(rows),
-            float(total) + float(rows["amount"].sum()),
-            sorted({*categories, *rows["category"]}),
-            seconds["epoch_s"].tolist(),
-            seconds["n"].tolist(),
-            seconds["amount"].tolist(),
-            int(end["epoch_s"]),
-            str(end["tx_id"]),
-            float(end["merch_lat"]),
-            float(end["merch_lon"]),
+            int(n),
+            float(total) + added,
+            sorted(seen),
+            recent,
+            [seconds[e][0] for e in recent],
+            [seconds[e][1] for e in recent],
+            int(here[0]),
+            str(here[1]),
+            float(end[0]),
+            float(end[1]),
         )
         state.update(new)
-        yield pd.DataFrame([(int(key[0]), *new)], columns=CHANGED_SCHEMA.fieldNames())
+        yield pd.DataFrame([(int(key[0]), *new)], columns=CHANGED)
 
     return events.groupBy("card_id").applyInPandasWithState(
         update, CHANGED_SCHEMA, KEPT_SCHEMA, "update", GroupStateTimeout.NoTimeout

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -321,3 +322,32 @@ def test_small_batches_are_twenty_files(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     inbox = str(found.value).removesuffix("/states") + "/inbox"
     assert len([n for n in children(spark, inbox) if not n.startswith((".", "_"))]) == 20
+
+
+def test_fold_makes_one_frame_a_call(monkeypatch):
+    """A card's rows and seconds are plain values; only the row that is returned is a frame."""
+
+    class Events:
+        def groupBy(self, key):
+            return self
+
+        def applyInPandasWithState(self, update, *rest):
+            return update
+
+    class State:
+        exists = False
+
+        def update(self, value):
+            self.get, self.exists = value, True
+
+    update, state, frames = stateful_fold(Events()), State(), []
+    made = pd.DataFrame
+    names = ["epoch_s", "tx_id", "amount", "category", "merch_lat", "merch_lon"]
+    first = made([(20, "b", 2.0, "y", 1.0, 2.0), (10, "a", 1.0, "x", 3.0, 4.0), (20, "b", 2.0, "y", 1.0, 2.0)], columns=names)
+    second = made([(20, "b", 2.0, "y", 1.0, 2.0), (20, "c", 4.0, "x", 5.0, 6.0)], columns=names)
+    late = made([(15, "z", 9.0, "z", 1.0, 1.0)], columns=names)
+    monkeypatch.setattr(pd, "DataFrame", lambda *a, **k: frames.append(1) or made(*a, **k))
+    for rows in (first, second, late):
+        list(update((7,), iter([rows]), state))
+    assert len(frames) == 2
+    assert state.get == (3, 7.0, ["x", "y"], [10, 20], [1, 2], [1.0, 6.0], 20, "c", 5.0, 6.0)
