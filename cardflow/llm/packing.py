@@ -35,6 +35,8 @@ from cardflow.llm.units import LONGEST, Cache, groups
 
 GROUP = 8192
 FULL = 1 << 62
+#: Units in one call of the tokenizer: longer texts take more time a unit.
+LINES = 64
 
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long, "
@@ -71,8 +73,8 @@ def _cache(path: str) -> Cache:
             out: list[bytes] = [b""] * len(units)
             alone = [len(u) > LONGEST or "\n" in u or u.isspace() for u in units]
             lines = [i for i, a in enumerate(alone) if not a]
-            for at in range(0, len(lines), 4096):
-                part = lines[at : at + 4096]
+            for at in range(0, len(lines), LINES):
+                part = lines[at : at + LINES]
                 text = "\n".join([units[i] for i in part])
                 (e,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
                 ids = np.array(e.ids, dtype="<u4")
