@@ -45,6 +45,8 @@ SCALE = 2_000_000
 MOST_BITS, BITS_PER_KEY = 28, 64
 #: Fingerprints a task holds before it sums equal ones.
 HELD = 1 << 22
+#: Tasks of the pass that makes pointers, for each that runs at a time.
+TASKS_PER_CORE = 2
 #: Parts of a language's candidates that are ranked apart, in rounds; the last round ranks at most
 #: `TOP` rows of each part of the one before.
 SLOTS = (1024, 32, 1)
@@ -261,6 +263,13 @@ def _count(texts: DataFrame, known: list[bitmaps.Bitmap], bits: int) -> DataFram
     return texts.select("lang", "text").mapInArrow(run, "key long, lang string, count long").groupBy("key", "lang").agg(F.sum("count").alias("count"))
 
 
+def _gathered(texts: DataFrame) -> DataFrame:
+    """The same rows in no more tasks than `TASKS_PER_CORE` for each that runs at a time. A frequent key is
+    in most tasks, so with tasks as many as the input is long the rows of `_pointers` would grow with
+    keys times tasks; here they grow with the keys."""
+    return texts.coalesce(TASKS_PER_CORE * texts.sparkSession.sparkContext.defaultParallelism)
+
+
 def _pointers(texts: DataFrame, known: list[bitmaps.Bitmap], bits: int) -> DataFrame:
     """Count, pointer and least and greatest check value of each key that may be frequent. A task keeps
     one row per key until it ends, and lets go of them earlier only when they are more than a quarter of
@@ -359,7 +368,7 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, text: str = "text", lang
         if totals is None:
             totals = kept.where(F.col("key").isNull()).select("lang", F.col("count").alias("n"))
         known.append(_bitmap(kept.where(F.col("key").isNotNull())))
-    found = scratch.saved(_pointers(texts, known, bits).where(F.col("count") >= least), "frequent-pointers")
+    found = scratch.saved(_pointers(_gathered(texts), known, bits).where(F.col("count") >= least), "frequent-pointers")
     clean, clashing = (found.where(c) for c in (F.col("least") == F.col("greatest"), F.col("least") != F.col("greatest")))
     places = _bitmap(clean, _place(F.col("key"), F.col("pointer")))
     clashes = None if clashing.isEmpty() else _bitmap(clashing)

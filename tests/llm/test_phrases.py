@@ -115,6 +115,24 @@ def test_a_task_makes_one_row_a_key(spark, monkeypatch):
     assert all(r["least"] == r["greatest"] for r in made)
 
 
+def test_pointer_rows_do_not_grow_with_tasks(spark, monkeypatch):
+    """In 40 tasks each of three keys would be made 40 times."""
+    tasks = phrases.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert tasks < 40
+    docs = spark.createDataFrame([("ab cd", "en")] * 400, "text string, lang string").repartition(40)
+    made = []
+
+    def pointers(texts, known, bits, pointers=phrases._pointers):
+        made.append(texts.mapInArrow(lambda batches: [pa.RecordBatch.from_pydict({"k": [sum(map(len, batches))]})], "k long").collect())
+        return pointers(texts, known, bits)
+
+    monkeypatch.setattr(phrases, "_pointers", pointers)
+    with Scratch(spark) as scratch:
+        found, _ = phrases.frequent_phrases(docs, scratch)
+        assert {(r["phrase"], r["f"]) for r in found.collect()} == {("ab", 400), ("cd", 400), ("ab cd", 400)}
+    assert sum(r["k"] for r in made[0]) == 400 and len(made[0]) <= tasks
+
+
 def test_nothing(spark):
     empty = spark.createDataFrame([], "text string, lang string")
     with Scratch(spark) as scratch:
