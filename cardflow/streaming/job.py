@@ -91,20 +91,20 @@ class StateJob:
             rejected = events.where(~complete)
             rejected.write.mode("overwrite").parquet(self._path(self.rejects_path, batch_id))
         tx = valid_events(events)
-        policy = self.policy if seen["rows"] > self.policy.hot_rows else UNIFORM
-        cards = tx.select("card_id").distinct()
+        cards = tx.groupBy("card_id").agg(F.count("*").alias("_rows")).persist()
+        policy = self._policy(seen["rows"], cards)
         state = (
             self.log.before(spark, self.run, batch_id, sorted(seen["buckets"]))
-            .join(cards, "card_id", "left_semi")
+            .join(cards.select("card_id"), "card_id", "left_semi")
             .persist()
         )
         fresh = fresh_rows(tx, state, policy).persist()
         try:
             if self.features_path or self.scorer:
                 # A small batch can still meet a card with a long day in its state.
-                features = stream_features(
-                    fresh, state, self.windows, self.retention, self.policy
-                ).persist()
+                features = stream_features(fresh, state, self.windows, self.retention, self.policy)
+                if self.features_path and self.scorer:
+                    features.persist()
                 if self.features_path:
                     shown = features.drop(*[c for c in ("ts", *REQUEST_TYPES) if c in features.columns])
                     shown.write.mode("overwrite").parquet(self._path(self.features_path, batch_id))
@@ -119,21 +119,25 @@ class StateJob:
         finally:
             fresh.unpersist()
             state.unpersist()
+            cards.unpersist()
+
+    def _policy(self, rows: int, cards: DataFrame) -> SkewPolicy:
+        """The cards of a batch are counted once: if none is hot, no step has to look for hot ones."""
+        if rows <= self.policy.hot_rows or not self.policy.detect:
+            return UNIFORM
+        most = cards.agg(F.max("_rows")).first()[0] or 0
+        return self.policy if most > self.policy.hot_rows else UNIFORM
 
     def _audit(
         self, spark: SparkSession, seen, cards: DataFrame, fresh: DataFrame, batch_id: int
     ) -> None:
         """Messages, rejects, cards, rows that were late or repeated, and cards changed."""
         changed = fresh.groupBy("card_id").agg(F.count("*").alias("_n"))
-        counts = (
-            cards.join(changed, "card_id", "left")
-            .agg(F.count("*").alias("cards"), F.count("_n").alias("changed"), F.sum("_n").alias("n"))
-            .first()
-        )
+        counts = changed.agg(F.count("*").alias("changed"), F.sum("_n").alias("n")).first()
         row = {
             "rows": seen["rows"],
             "rejected": seen["rejected"],
-            "cards": counts["cards"],
+            "cards": cards.count(),
             "late_or_repeated": seen["rows"] - seen["rejected"] - (counts["n"] or 0),
             "cards_changed": counts["changed"],
         }

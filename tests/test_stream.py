@@ -12,11 +12,12 @@ from cardflow.operators.audit import feature_parity
 from cardflow.operators.history import history_features
 from cardflow.operators.latest import latest_per_key
 from cardflow.operators.skew import SkewPolicy
-from cardflow.operators.state import card_state
+from cardflow.operators.state import card_state, fresh_rows
 from cardflow.plans.jobs import reset_stream, seed_stream
 from cardflow.plans.workspace import children, cut_lineage, shared_dir
 from cardflow.schema import RETENTION, STATE_SCHEMA
-from cardflow.sources.messages import export_messages, export_parts, read_message_stream
+from cardflow.sources.messages import export_messages, export_parts, messages, read_message_stream
+from cardflow.streaming import job as stream_job
 from cardflow.streaming.fold import stateful_fold, to_state
 from cardflow.streaming.job import StateJob, read_batches, start
 from cardflow.streaming.state_log import StateLog
@@ -250,6 +251,37 @@ def test_batches_leave_no_tables_behind(spark, waves, tmp_path):
     assert set(children(spark, shared_dir(spark))) == before
 
 
+@pytest.mark.parametrize("hot_rows, detect", [(70, False), (5, True)])
+def test_cards_of_a_batch_are_counted_once(spark, waves, tmp_path, monkeypatch, hot_rows, detect):
+    """A batch of many rows without a hot card: no step looks for hot cards again."""
+    log = StateLog(f"{tmp_path}/states", buckets=2)
+    log.seed(spark, card_state(waves[0]))
+    given = []
+    monkeypatch.setattr(stream_job, "fresh_rows", lambda tx, state, policy: given.append(policy) or fresh_rows(tx, state, policy))
+    job = StateJob(log, audit_path=f"{tmp_path}/audit", policy=SkewPolicy(hot_rows=hot_rows))
+    value = messages(waves[1]).selectExpr("cast(value as binary) value")
+    assert waves[1].count() > 70
+    job.process(value, 0)
+    assert [p.detect for p in given] == [detect]
+    row = read_batches(spark, job.audit_path).first()
+    cards = waves[1].select("card_id").distinct().count()
+    assert (row["rows"], row["late_or_repeated"], row["cards"], row["cards_changed"]) == (waves[1].count(), 0, cards, cards)
+
+
+@pytest.mark.parametrize("query, asked", [("stream_state", (False, False)), ("stream_audit", (False, True)), ("stream_features", (True, False))])
+def test_a_query_asks_the_stream_for_what_it_returns(spark, monkeypatch, query, asked):
+    made = []
+
+    class Job(StateJob):
+        def __post_init__(self):
+            super().__post_init__()
+            made.append((self.features_path is not None, self.audit_path is not None))
+
+    monkeypatch.setattr(queries, "StateJob", Job)
+    assert queries.QUERIES[query](spark, "/root/testdata/sf0.001").count()
+    assert made[0] == asked
+
+
 def test_state_table_must_exist(spark, waves, tmp_path):
     job = StateJob(StateLog(str(tmp_path / "none")))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
