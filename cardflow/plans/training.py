@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import chain
 
@@ -49,6 +50,8 @@ METRICS_SCHEMA = (
 TREES = 200
 STEPS = 20
 REGULARIZATION = (0.0, 0.001, 0.01)
+#: Rows that a task of a fit holds, about, at most.
+ROWS_PER_TASK = 1_000_000
 
 
 def model_matrix(tx: DataFrame) -> DataFrame:
@@ -64,6 +67,25 @@ def _inputs(tx: DataFrame, weighted: bool) -> DataFrame:
     return with_class_weight(rows) if weighted else rows
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` dealt out evenly, to a multiple of the tasks that run at a time. Fits pass over their rows very
+    often, a pass takes as long as its longest task, and the splits of a file can be few and uneven."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * max(1, math.ceil(df.count() / (cores * ROWS_PER_TASK))))
+
+
+@contextmanager
+def kept(splits: Splits) -> Iterator[Splits]:
+    """What fits and metrics read of the splits, spread and kept while the block lasts."""
+    columns = [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, "is_fraud"]
+    held = Splits(*[spread(s.select(*columns)).persist() for s in splits])
+    try:
+        yield held
+    finally:
+        for s in held:
+            s.unpersist()
+
+
 def _indexer() -> StringIndexer:
     return StringIndexer(
         inputCols=CATEGORICAL_FEATURES,
@@ -267,11 +289,12 @@ def train_candidates(
     splits: Splits, trees: int = TREES, review: float = REVIEW_COST
 ) -> list[Candidate]:
     """Rule, boosted trees and linear model."""
-    boosting = run_candidate("boosting", fit_boosting(splits.train, trees), splits, review)
-    linear = run_candidate(
-        "linear", choose_linear(splits.train, splits.validation, review=review), splits, review
-    )
-    return [run_amount_rule(splits, review), boosting, linear]
+    with kept(splits) as held:
+        boosting = run_candidate("boosting", fit_boosting(held.train, trees), held, review)
+        linear = run_candidate(
+            "linear", choose_linear(held.train, held.validation, review=review), held, review
+        )
+        return [run_amount_rule(held, review), boosting, linear]
 
 
 def metrics_table(candidates: list[Candidate]) -> DataFrame:

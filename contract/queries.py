@@ -554,18 +554,14 @@ def stateful_states(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
-    splits = Splits(*[s.persist() for s in _splits(spark, sf)])
-    try:
-        return training.metrics_table(training.train_candidates(splits))
-    finally:
-        for s in splits:
-            s.unpersist()
+    return training.metrics_table(training.train_candidates(_splits(spark, sf)))
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     splits = _splits(spark, sf)
-    model = training.fit_linear(splits.train)
-    chosen = training.run_candidate("linear", model, splits).threshold
+    with training.kept(splits) as held:
+        choice = training.choose_by_cost([training.fit_linear(held.train)], held.validation)
+    model, chosen = choice.model, choice.costs[0][1]
     known = card_state(splits.train.unionByName(splits.validation))
     asked = check_requests(splits.test).where(F.col("reject_reason").isNull())
     out = training.score_requests(request_features(asked, known), model, chosen, "linear-1")

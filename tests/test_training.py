@@ -72,6 +72,24 @@ def test_candidates(candidates, splits):
         assert training.with_probability(unseen, candidate.model).count() == 200
 
 
+def test_fits_read_evenly_dealt_rows(spark, splits, monkeypatch):
+    """Whatever the splits of the file were: here one of two tasks would hold all rows."""
+    uneven = Splits(*[s.coalesce(1).union(s.limit(0)) for s in splits])
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 60)
+    seen = []
+
+    def fit(train, *args, fit=training.fit_linear):
+        seen.append([r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()])
+        return fit(train, *args)
+
+    monkeypatch.setattr(training, "fit_linear", fit)
+    monkeypatch.setattr(training, "linear_steps", lambda train: iter(()))
+    training.train_candidates(uneven, trees=1)
+    cores = spark.sparkContext.defaultParallelism
+    assert all(len(sizes) == 4 and len(sizes) % cores == 0 and max(sizes) <= 55 and sum(sizes) == 200 for sizes in seen)
+    assert len(seen) == len(training.REGULARIZATION)
+
+
 def test_saved_model_scores_requests(spark, candidates, splits, tmp_path):
     path = str(tmp_path / "model")
     candidates[2].model.write().overwrite().save(path)
